@@ -184,7 +184,7 @@ arts AS (SELECT coalesce(o.artist_id, a.artist_id) AS artist_id, coalesce(o.name
 da AS (SELECT row_number() OVER (ORDER BY artist_id, vf) AS artist_key, * FROM (
   SELECT a.artist_id, a.artist_name, a.artist_uri, v.artist_mbid, v.raw_response_id, v.ingested_at AS observed_at,
   CASE WHEN sig <> '' THEN 'musicbrainz' END AS genre_source,
-  CASE WHEN vn IS NULL OR vn = 1 THEN TIMESTAMP '2008-10-07' ELSE v.ingested_at END AS vf, v.valid_to,
+  CASE WHEN vn IS NULL OR vn = 1 THEN TIMESTAMP '1990-01-01' ELSE v.ingested_at END AS vf, v.valid_to,
   v.valid_to IS NULL AS is_current
   FROM arts a LEFT JOIN vers v USING (artist_id))),
 dg AS (SELECT row_number() OVER (ORDER BY tag_type, tag_name) AS genre_key, tag_type, tag_name AS genre_name

@@ -31,6 +31,7 @@ GENRE_SEED = (
     ("economy", "pop"), ("medium", "rock"), ("standard", "jazz / blues"), ("promo", "classical"),
     ("large", "latin"),
 )
+EPOCH = "1990-01-01"  # the tables reach back further than the default epoch
 _memo: dict[tuple, object] = {}
 
 
@@ -477,7 +478,8 @@ def current_genres(spark: SparkSession, d: str) -> DataFrame:
 
 def dim_artist(spark: SparkSession, d: str) -> DataFrame:
     return _once(spark, d, "dim_artist", lambda: star.dim_artist(
-        artists(spark, d), artist_map(spark, d), external_artists(spark, d), tags(spark, d)
+        artists(spark, d), artist_map(spark, d), external_artists(spark, d), tags(spark, d),
+        EPOCH,
     ).persist())
 
 
@@ -517,7 +519,7 @@ def bucket_map(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession) -> DataFrame:
-    return star.dim_date(spark, "2026-12-31")
+    return star.dim_date(spark, "2026-12-31", EPOCH)
 
 
 def fact(spark: SparkSession, d: str) -> DataFrame:

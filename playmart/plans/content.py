@@ -200,18 +200,18 @@ def artist_external_map(
 
 def artist_tags(responses: DataFrame) -> DataFrame:
     """(response, vocabulary, string, votes); strings nobody voted for are dropped."""
-    kinds = F.concat(
-        *[
-            F.transform(
-                F.coalesce(col, F.expr("cast(array() as array<struct<name:string,count:int>>)")),
-                lambda t, kind=kind: F.struct(
-                    F.lit(kind).alias("tag_type"), t["name"].alias("tag_name"),
-                    t["count"].alias("vote_count"),
-                ),
-            )
-            for kind, col in (("genre", "genres"), ("tag", "tags"))
-        ]
-    )
+    none = F.expr("cast(array() as array<struct<name:string,count:int>>)")
+
+    def labelled(kind: str, column: str) -> Column:
+        return F.transform(
+            F.coalesce(column, none),
+            lambda t: F.struct(
+                F.lit(kind).alias("tag_type"), t["name"].alias("tag_name"),
+                t["count"].alias("vote_count"),
+            ),
+        )
+
+    kinds = F.concat(labelled("genre", "genres"), labelled("tag", "tags"))
     rows = responses.filter("is_found").select(
         "raw_response_id", "artist_mbid", "ingested_at", F.explode(kinds).alias("t")
     )

@@ -247,7 +247,7 @@ def drilldown_periods(allocation: DataFrame, windows: DataFrame) -> DataFrame:
             F.col("year").cast("string"),
         )
     )
-    return rows.drop("first_month", "last_month").withColumn("period", F.explode(label))
+    return rows.withColumn("period", F.explode(label)).drop("first_month", "last_month")
 
 
 def period_list(allocation: DataFrame, windows: DataFrame) -> DataFrame:

@@ -1,0 +1,343 @@
+"""Profiles of tables and payloads: what is filled, what is missing, what must not be shown."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from playmart.config import (
+    HIDDEN_VALUE_FIELDS, IDENTIFIER_FIELDS, IDENTIFIER_SUFFIXES, PERSON_FIELDS, REDACTED,
+)
+from playmart.operators.ordered import top_per_group
+
+
+# --- Redaction ------------------------------------------------------------------------------------
+
+
+def names_person(column: str) -> bool:
+    return any(step in PERSON_FIELDS for step in column.split("."))
+
+
+def is_identifier(column: str) -> bool:
+    return (
+        names_person(column) or column.endswith(IDENTIFIER_SUFFIXES) or column in IDENTIFIER_FIELDS
+    )
+
+
+def hides_values(column: str) -> bool:
+    return any(step in HIDDEN_VALUE_FIELDS for step in column.split("."))
+
+
+def must_redact(column: str) -> bool:
+    return is_identifier(column) or hides_values(column)
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def redact(df: DataFrame) -> DataFrame:
+    """Every column that names or could identify somebody is masked; NULL stays NULL."""
+    masked = lambda c: F.when(_quoted(c).isNotNull(), F.lit(REDACTED)).alias(c)
+    return df.select(*[masked(c) if must_redact(c) else _quoted(c) for c in df.columns])
+
+
+def summarised(df: DataFrame) -> DataFrame:
+    """Nested values shown as their size, long text as its head, after redaction."""
+    out = redact(df)
+    shown = []
+    for field in out.schema.fields:
+        col, kind = _quoted(field.name), field.dataType.typeName()
+        if kind == "array":
+            col = F.concat(F.lit("list["), F.size(col).cast("string"), F.lit("]"))
+        elif kind == "struct":
+            col = F.when(
+                col.isNotNull(), F.lit(f"object({len(field.dataType.fields)} keys)")
+            )
+        elif kind == "map":
+            col = F.concat(F.lit("object("), F.size(col).cast("string"), F.lit(" keys)"))
+        elif kind == "string":
+            col = F.when(F.length(col) > 60, F.concat(F.substring(col, 1, 59), F.lit("…"))).otherwise(col)
+        shown.append(col.alias(field.name))
+    return out.select(*shown)
+
+
+# --- Columns --------------------------------------------------------------------------------------
+
+
+def stacked(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """One (field, value) row per cell, values as text: the shape every column profile groups by."""
+    cells = F.array(
+        *[
+            F.struct(F.lit(n).alias("position"), F.lit(c).alias("field"),
+                     _quoted(c).cast("string").alias("value"))
+            for n, c in enumerate(columns)
+        ]
+    )
+    return df.select(*keys, F.explode(cells).alias("cell")).select(*keys, "cell.*")
+
+
+def column_schema(df: DataFrame) -> DataFrame:
+    """Per column: type, filled rows, null rate and one example, from a single aggregate."""
+    stats = F.array(
+        *[
+            F.struct(
+                F.lit(f.name).alias("field"), F.lit(f.dataType.simpleString()).alias("type"),
+                F.count(_quoted(f.name)).alias("non_null"),
+                F.count(F.lit(1)).alias("total"),
+                (F.lit(REDACTED) if must_redact(f.name)
+                 else F.min(_quoted(f.name).cast("string"))).alias("example"),
+            )
+            for f in df.schema.fields
+        ]
+    )
+    rows = df.agg(stats.alias("s")).select(F.explode("s").alias("s")).select("s.*")
+    rate = F.round(1 - F.col("non_null") / F.nullif(F.col("total"), F.lit(0)), 4)
+    return rows.select(
+        "field", "type", "non_null", "total", rate.alias("null_rate"),
+        F.when(F.col("non_null") > 0, F.col("example")).alias("example"),
+    )
+
+
+def field_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Per column: nulls, distinct values, range and the most frequent value with its count.
+
+    Cells are counted per (field, value) with a map-side step; the rest reads those counts.
+    """
+    columns = list(columns or df.columns)
+    counts = stacked(df, columns).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("value").isNotNull()
+    summary = counts.groupBy("field").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("nulls"),
+        F.count("value").alias("distinct_values"),
+        F.min("value").alias("low"), F.max("value").alias("high"),
+    )
+    mode = top_per_group(
+        counts.filter(known), ["field"], [F.desc("n"), F.asc("value")], 1
+    ).select("field", F.col("value").alias("top_value"), F.col("n").alias("top_count"))
+    hidden = F.col("field").isin(*[c for c in columns if hides_values(c)])
+    cover = lambda c: F.when(hidden & F.col(c).isNotNull(), F.lit(REDACTED)).otherwise(F.col(c))
+    return summary.join(mode, "field", "left").withColumns(
+        {c: cover(c) for c in ("low", "high", "top_value")}
+    )
+
+
+# --- JSON payloads --------------------------------------------------------------------------------
+
+
+def _kind(schema: Column) -> Column:
+    """JSON type name of a value whose Spark schema text is given."""
+    return (
+        F.when(schema == "VOID", "null").when(schema == "STRING", "string")
+        .when(schema == "BOOLEAN", "boolean").when(schema.startswith("ARRAY"), "array")
+        .when(schema.startswith("OBJECT"), "object").otherwise("number")
+    )
+
+
+def payload_keys(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """One row per top-level key of every payload: key and JSON type, values left behind."""
+    pairs = F.from_json(F.col(payload), "map<string,variant>")
+    rows = df.select(F.explode(pairs).alias("key", "value"))
+    return rows.select("key", _kind(F.schema_of_variant("value")).alias("kind"))
+
+
+def payload_key_schema(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Per key: the types seen, how many payloads carry a value, and the share that do."""
+    total = df.agg(F.count(F.lit(1))).scalar()
+    pairs = payload_keys(df, payload).groupBy("key", "kind").agg(F.count(F.lit(1)).alias("n"))
+    # six JSON types exist, so the set per key is of fixed size
+    return pairs.groupBy("key").agg(
+        F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("types"),
+        F.sum("n").alias("present"),
+        F.coalesce(F.sum(F.when(F.col("kind") != "null", F.col("n"))), F.lit(0)).alias("non_null"),
+    ).withColumn("non_null_share", F.round(F.col("non_null") / total, 4))
+
+
+def describe_shape(df: DataFrame, payload: str = "payload", depth: int = 4) -> DataFrame:
+    """Key paths and the JSON types at each, never values, down to `depth` levels.
+
+    Every level replaces its objects and arrays by their children in one narrow pass.
+    """
+    level = df.select(F.lit("$").alias("path"), F.parse_json(payload).alias("node"))
+    found = []
+    for step in range(depth + 1):
+        typed = level.withColumn("kind", _kind(F.schema_of_variant("node")))
+        found.append(typed.select("path", "kind"))
+        if step == depth:
+            break
+        fields = F.transform(
+            F.map_entries(F.try_variant_get("node", F.lit("$"), "map<string,variant>")),
+            lambda e: F.struct(F.lit(".").alias("sep"), e["key"].alias("key"), e["value"].alias("node")),
+        )
+        items = F.transform(
+            F.try_variant_get("node", F.lit("$"), "array<variant>"),
+            lambda v: F.struct(F.lit("[]").alias("sep"), F.lit("").alias("key"), v.alias("node")),
+        )
+        children = F.when(F.col("kind") == "object", fields).when(F.col("kind") == "array", items)
+        level = typed.select("path", F.explode(children).alias("c")).select(
+            F.concat("path", "c.sep", "c.key").alias("path"), F.col("c.node").alias("node")
+        )
+    every = found[0]
+    for part in found[1:]:
+        every = every.unionByName(part)
+    return every.distinct().groupBy("path").agg(
+        F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("types")
+    )
+
+
+def schema_frame(records: DataFrame, documented: Sequence[str], payload: str = "payload",
+                 conditional: Sequence[str] = ()) -> DataFrame:
+    """Presence, null rate and types per field, beside what the documentation promises.
+
+    A documented field no record carries is a row of its own, typed ABSENT.
+    """
+    spark: SparkSession = records.sparkSession
+    total = records.agg(F.count(F.lit(1))).scalar()
+    seen = payload_key_schema(records, payload).select(
+        F.col("key").alias("field"), "types", "present", "non_null"
+    )
+    promised = spark.createDataFrame(
+        [(name, name in conditional) for name in documented], "field string, conditional boolean"
+    )
+    joined = seen.join(promised, "field", "full_outer")
+    return joined.select(
+        "field", F.coalesce("types", F.lit("ABSENT")).alias("types"),
+        F.coalesce("present", F.lit(0)).alias("present"),
+        F.round(1 - F.coalesce(F.col("non_null") / F.col("present"), F.lit(0.0)), 4).alias("null_rate"),
+        F.when(F.col("types").isNull() & F.col("conditional"), "yes (conditional)")
+        .when(F.col("conditional").isNotNull(), "yes").otherwise("no").alias("documented"),
+        (F.coalesce("present", F.lit(0)) == total).alias("on_every_record"),
+    )
+
+
+def field_presence(records: DataFrame, watched: Sequence[str], payload: str = "payload") -> DataFrame:
+    """For each watched field: absent, partly present, present, or not examined at all."""
+    keys = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
+    counts = F.array(
+        *[
+            F.struct(F.lit(name).alias("field"),
+                     F.count_if(F.array_contains(keys, name)).alias("present"),
+                     F.count(F.lit(1)).alias("examined"))
+            for name in watched
+        ]
+    )
+    rows = records.agg(counts.alias("c")).select(F.explode("c").alias("c")).select("c.*")
+    state = (
+        F.when(F.col("examined") == 0, "not examined").when(F.col("present") == 0, "absent")
+        .when(F.col("present") < F.col("examined"), "partly present").otherwise("present")
+    )
+    return rows.withColumn("state", state)
+
+
+# --- Facts about the sources ----------------------------------------------------------------------
+
+
+def api_window_facts(plays: DataFrame, polls: DataFrame) -> DataFrame:
+    """First and last play per profile and source, and plays from before the first good poll."""
+    first = polls.filter("status = 'ok'").groupBy("profile_slug").agg(
+        F.min("finished_at").alias("first_poll")
+    )
+    joined = plays.join(first, "profile_slug")
+    return joined.groupBy("profile_slug", "source_system").agg(
+        F.min("ended_at_utc").alias("first_play"), F.max("ended_at_utc").alias("last_play"),
+        F.count(F.lit(1)).alias("plays"),
+        F.count_if(F.col("ended_at_utc") < F.col("first_poll")).alias("before_first_poll"),
+    )
+
+
+def export_section(records: DataFrame) -> DataFrame:
+    """Files, span and content types of each profile's export."""
+    per_file = records.groupBy("profile_slug", "source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ended_at_utc").alias("first"),
+        F.max("ended_at_utc").alias("last"),
+        *[F.count_if(F.col("content_type") == k).alias(k)
+          for k in ("track", "episode", "audiobook_chapter")],
+    )
+    return per_file.groupBy("profile_slug").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("n").alias("records"),
+        F.to_date(F.min("first")).alias("first_day"), F.to_date(F.max("last")).alias("last_day"),
+        *[F.sum(k).alias(k) for k in ("track", "episode", "audiobook_chapter")],
+    )
+
+
+def lookup_section(lookups: DataFrame) -> DataFrame:
+    """How many recording codes were looked up, found, and led to one external artist."""
+    return lookups.agg(
+        F.count(F.lit(1)).alias("looked_up"), F.count_if("is_found").alias("found"),
+        F.count("primary_artist_mbid").alias("resolved"),
+        F.round(F.lit(100.0) * F.count_if("is_found") / F.nullif(F.count(F.lit(1)), F.lit(0)), 2).alias(
+            "pct_found"
+        ),
+    )
+
+
+def vocabulary_section(current: DataFrame) -> DataFrame:
+    """How the strings of each vocabulary spread over artists: used once, by several, at most."""
+    per_string = current.groupBy("tag_type", "tag_name").agg(F.count(F.lit(1)).alias("artists"))
+    return per_string.groupBy("tag_type").agg(
+        F.count(F.lit(1)).alias("strings"), F.sum("artists").alias("uses"),
+        F.count_if(F.col("artists") == 1).alias("used_once"), F.max("artists").alias("most_used"),
+    )
+
+
+def fact_section(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("source_system").agg(
+        F.count(F.lit(1)).alias("plays"), F.count("ms_played").alias("rows_with_duration"),
+        F.count_if("is_qualified_play").alias("qualified"),
+        F.count_if(F.col("content_key") == -1).alias("unknown_content"),
+    )
+
+
+def content_section(content: DataFrame) -> DataFrame:
+    return content.groupBy("content_type", "is_resolved").agg(
+        F.count(F.lit(1)).alias("items"), F.count("duration_ms").alias("with_duration"),
+        F.count("primary_creator_name").alias("with_creator"),
+    )
+
+
+def artist_section(artists: DataFrame) -> DataFrame:
+    per = artists.filter("artist_key > 0").groupBy("artist_id").agg(
+        F.count(F.lit(1)).alias("versions"), F.bool_or(F.col("genre_source").isNotNull()).alias("sourced")
+    )
+    return per.groupBy("versions").agg(
+        F.count(F.lit(1)).alias("artists"), F.count_if("sourced").alias("with_genre_source")
+    )
+
+
+def weights_hold(bridge: DataFrame) -> DataFrame:
+    """Whether every (artist, vocabulary) adds up to one, per vocabulary."""
+    sums = bridge.groupBy("tag_type", "artist_key").agg(F.sum("weight_factor").alias("w"))
+    return sums.groupBy("tag_type").agg(
+        F.count(F.lit(1)).alias("artists"),
+        F.bool_and(F.abs(F.col("w") - 1) <= 1e-6).alias("weights_sum_to_one"),
+    )
+
+
+def reconciliation_holds(steps: DataFrame, plays: DataFrame) -> DataFrame:
+    """Whether the chain starts at all plays and loses exactly what it names, per profile."""
+    total = plays.groupBy("profile_slug").agg(F.count(F.lit(1)).alias("plays"))
+    chain = steps.groupBy("profile_slug").agg(
+        F.max(F.when(F.col("step_number") == 1, F.col("play_count"))).alias("first_step"),
+        F.max(F.when(F.col("step_number") == 4, F.col("play_count"))).alias("last_step"),
+        F.sum("residual_play_count").alias("lost"),
+    )
+    return chain.join(total, "profile_slug").select(
+        "profile_slug",
+        ((F.col("first_step") == F.col("plays"))
+         & (F.col("last_step") + F.col("lost") == F.col("plays"))).alias("holds"),
+    )
+
+
+def table_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """Name, rows and columns of every table, counted in one job."""
+    rows = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("name"), "rows", F.lit(len(df.columns)).alias("columns"),
+            F.lit(", ".join(df.columns)).alias("fields"),
+        )
+        rows = one if rows is None else rows.unionByName(one)
+    return rows

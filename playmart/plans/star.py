@@ -131,7 +131,8 @@ def genre_signatures(tags: DataFrame) -> DataFrame:
 
 
 def dim_artist(
-    artists: DataFrame, mapping: DataFrame, responses: DataFrame, tags: DataFrame
+    artists: DataFrame, mapping: DataFrame, responses: DataFrame, tags: DataFrame,
+    epoch: str = HISTORY_EPOCH,
 ) -> DataFrame:
     """Type 2 on the set of genre strings; the name is current on every version."""
     known = mapping.filter("artist_mbid is not null").select("artist_id", "artist_mbid")
@@ -146,7 +147,7 @@ def dim_artist(
             seen, "artist_id", ["ingested_at", "raw_response_id"], "genre_signature",
             F.trunc("ingested_at", "month"),
         ),
-        HISTORY_EPOCH,
+        epoch,
     ).select(
         "artist_id",
         F.when(F.col("genre_signature") != "", "musicbrainz").alias("genre_source"),
@@ -155,12 +156,12 @@ def dim_artist(
         F.col("ingested_at").alias("genre_observed_at"),
         "valid_from", "valid_to", "is_current",
     )
-    epoch = F.to_timestamp(F.lit(HISTORY_EPOCH))
+    start = F.to_timestamp(F.lit(epoch))
     rows = artists.select("artist_id", "artist_uri", "artist_name").join(
         spans, "artist_id", "left"
     ).withColumns(
         {
-            "valid_from": F.coalesce("valid_from", epoch),
+            "valid_from": F.coalesce("valid_from", start),
             "is_current": F.coalesce("is_current", F.lit(True)),
         }
     )
@@ -168,7 +169,7 @@ def dim_artist(
     return with_members(
         keyed,
         {"artist_key": -1, "artist_id": "(unknown)", "artist_name": "Unknown artist",
-         "valid_from": HISTORY_EPOCH, "is_current": True},
+         "valid_from": epoch, "is_current": True},
     )
 
 
