@@ -571,9 +571,9 @@ def k12(spark, d):
  n AS (SELECT *, row_number() OVER (PARTITION BY profile_slug, period, bucket, genre_name ORDER BY round(h, 9) DESC, artist_name) AS rk FROM a WHERE h > 0),
  lf AS (SELECT profile_slug, period, bucket, genre_name, CASE WHEN rk <= 5 THEN artist_name END AS leaf, sum(h) AS v, count(*) AS c FROM n GROUP BY ALL)
  SELECT profile_slug, period, period || '|' || bucket || '|' || genre_name || '|' || coalesce(leaf, '…rest') AS id, coalesce(leaf, c || CASE WHEN c = 1 THEN ' other artist' ELSE ' other artists' END) AS label,
-  period || '|' || bucket || '|' || genre_name AS parent, round(v, 4) AS value, bucket FROM lf
- UNION ALL SELECT profile_slug, period, period || '|' || bucket || '|' || genre_name, genre_name, period || '|' || bucket, round(sum(v), 4), bucket FROM lf GROUP BY profile_slug, period, bucket, genre_name
- UNION ALL SELECT profile_slug, period, period || '|' || bucket, bucket, '', round(sum(v), 4), bucket FROM lf GROUP BY profile_slug, period, bucket""")
+  period || '|' || bucket || '|' || genre_name AS parent, round(v, 7) AS value, bucket FROM lf
+ UNION ALL SELECT profile_slug, period, period || '|' || bucket || '|' || genre_name, genre_name, period || '|' || bucket, round(sum(v), 7), bucket FROM lf GROUP BY profile_slug, period, bucket, genre_name
+ UNION ALL SELECT profile_slug, period, period || '|' || bucket, bucket, '', round(sum(v), 7), bucket FROM lf GROUP BY profile_slug, period, bucket""")
 def k13(spark, d):
     tagged = li.drilldown_periods(w.bucket_allocation(spark, d), w.windows(spark, d))
-    return li.sunburst_nodes(tagged).withColumn("value", r("value"))
+    return li.sunburst_nodes(tagged).withColumn("value", r("value", 7))
