@@ -25,8 +25,15 @@ def query(name: str, sql: str | None = None):
     return keep
 
 
+_tables: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """One of the given tables; its files are listed once per session."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(f"{d}/{name}.parquet")
+    return _tables[key]
 
 
 def utc(col: str) -> Column:

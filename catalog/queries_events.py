@@ -533,11 +533,10 @@ def m11(spark, d):
   isodow(f) AS day_of_week_iso, dayname(f) AS day_of_week_name, week(f) AS iso_week, isoyear(f) AS iso_year, isodow(f) >= 6 AS is_weekend
  FROM x JOIN b ON f BETWEEN lo AND hi""")
 def g18(spark, d):
-    span = table(spark, d, "orders").agg(
-        F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi")
-    )
+    days = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("day"))
+    first, last = days.agg(F.min("day")).scalar(), days.agg(F.max("day")).scalar()
     dates = star.dim_date(spark, "2026-12-31", "1994-01-01").filter("date_key > 0")
-    inside = dates.join(F.broadcast(span), F.col("full_date").between(F.col("lo"), F.col("hi")))
+    inside = dates.filter(F.col("full_date").between(first, last))
     return inside.select(
         "date_key", day("full_date"), "year", "quarter", "month_name", "day_of_week_iso",
         "day_of_week_name", "iso_week", "iso_year", "is_weekend",

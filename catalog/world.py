@@ -17,6 +17,7 @@ from playmart.operators.ordered import keep_first, split_scan
 from playmart.plans import allocation, content, star
 from playmart.plans.events import coverage_windows, dedupe_play_events
 from playmart.plans.timeseries import enriched_plays
+from playmart.session import small_table
 from playmart.sources import staging
 
 PROFILES = (
@@ -36,7 +37,7 @@ _memo: dict[tuple, object] = {}
 
 
 def _once(spark: SparkSession, d: str, what: str, build):
-    """Small shared tables are built once per session."""
+    """Relations with several consumers are built and kept once per session, as `pipeline` does."""
     key = (spark.sparkContext.applicationId, d, what)
     if key not in _memo:
         _memo[key] = build()
@@ -48,15 +49,15 @@ def text(col: str | Column) -> Column:
 
 
 def registry(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(PROFILES), "profile_slug string, household_role string, home_timezone string"
+    return small_table(
+        spark, list(PROFILES), "profile_slug string, household_role string, home_timezone string"
     )
 
 
 def profiles(spark: SparkSession) -> DataFrame:
     rows = [(n, *row) for n, row in enumerate(PROFILES, start=1)]
-    return spark.createDataFrame(
-        rows,
+    return small_table(
+        spark, rows,
         "profile_key int, profile_slug string, household_role string, home_timezone string",
     )
 
@@ -436,9 +437,9 @@ def stg_no_plays(spark: SparkSession, d: str) -> DataFrame:
 
 
 def tracks(spark: SparkSession, d: str) -> DataFrame:
-    return content.tracks_latest(
+    return _once(spark, d, "tracks", lambda: content.tracks_latest(
         stg_no_plays(spark, d), staging.track(raw_tracks(spark, d))
-    )
+    ).persist())
 
 
 def credits(spark: SparkSession, d: str) -> DataFrame:
@@ -454,13 +455,15 @@ def external_artists(spark: SparkSession, d: str) -> DataFrame:
 
 
 def artist_map(spark: SparkSession, d: str) -> DataFrame:
-    return content.artist_external_map(
+    return _once(spark, d, "artist_map", lambda: content.artist_external_map(
         credits(spark, d), tracks(spark, d), isrc_artists(spark, d)
-    )
+    ).persist())
 
 
 def tags(spark: SparkSession, d: str) -> DataFrame:
-    return content.artist_tags(external_artists(spark, d))
+    return _once(spark, d, "tags", lambda: content.artist_tags(
+        external_artists(spark, d)
+    ).persist())
 
 
 def artists(spark: SparkSession, d: str) -> DataFrame:
@@ -503,12 +506,12 @@ def primary_artists(spark: SparkSession, d: str) -> DataFrame:
 
 def buckets(spark: SparkSession) -> DataFrame:
     rows = [(n, name, n) for n, name in enumerate(GENRE_BUCKETS, start=1)]
-    return spark.createDataFrame(rows, "genre_bucket_key int, bucket_name string, bucket_order int")
+    return small_table(spark, rows, "genre_bucket_key int, bucket_name string, bucket_order int")
 
 
 def genre_seed(spark: SparkSession) -> DataFrame:
     rows = [(f"{word} {n}", bucket) for word, bucket in GENRE_SEED for n in range(3)]
-    return spark.createDataFrame(rows, "genre_name string, bucket_name string")
+    return small_table(spark, rows, "genre_name string, bucket_name string")
 
 
 def bucket_map(spark: SparkSession, d: str) -> DataFrame:

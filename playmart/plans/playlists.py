@@ -17,6 +17,7 @@ from playmart.functions.text import (
 )
 from playmart.operators.ordered import keep_first
 from playmart.operators.sets import missing_keys, tagged
+from playmart.session import small_table
 
 TIERS = ("content_uri", "isrc", "content_match_key")
 TIER_LABELS = {"content_uri": "uri", "isrc": "isrc", "content_match_key": "name"}
@@ -273,7 +274,7 @@ def name_matches(names: DataFrame, needles: DataFrame, column: str = "playlist_n
 
 def resolve_name(names: DataFrame, needle: str, column: str = "playlist_name") -> tuple[str, bool]:
     """The one name that fits and whether it fits exactly; an error names the candidates."""
-    asked = names.sparkSession.createDataFrame([(needle,)], "needle string")
+    asked = small_table(names.sparkSession, [(needle,)], "needle string")
     row = name_matches(names, asked, column).first()
     if row and row["resolved"] is not None:
         return row["resolved"], row["is_exact"]

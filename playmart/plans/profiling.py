@@ -11,6 +11,7 @@ from playmart.config import (
     HIDDEN_VALUE_FIELDS, IDENTIFIER_FIELDS, IDENTIFIER_SUFFIXES, PERSON_FIELDS, REDACTED,
 )
 from playmart.operators.ordered import top_per_group
+from playmart.session import small_table
 
 
 # --- Redaction ------------------------------------------------------------------------------------
@@ -194,13 +195,13 @@ def schema_frame(records: DataFrame, documented: Sequence[str], payload: str = "
 
     A documented field no record carries is a row of its own, typed ABSENT.
     """
-    spark: SparkSession = records.sparkSession
     total = records.agg(F.count(F.lit(1))).scalar()
     seen = payload_key_schema(records, payload).select(
         F.col("key").alias("field"), "types", "present", "non_null"
     )
-    promised = spark.createDataFrame(
-        [(name, name in conditional) for name in documented], "field string, conditional boolean"
+    promised = small_table(
+        records.sparkSession, [(name, name in conditional) for name in documented],
+        "field string, conditional boolean",
     )
     joined = seen.join(promised, "field", "full_outer")
     return joined.select(

@@ -9,6 +9,7 @@ from playmart.config import MS_PER_HOUR, UNCLASSIFIED, UNIDENTIFIED, ExtractOpti
 from playmart.functions.text import platform_family
 from playmart.operators.sets import with_share
 from playmart.plans.timeseries import PROFILE
+from playmart.session import small_table
 from playmart.sources.writers import write_extract
 
 EXCLUDED = (
@@ -191,4 +192,4 @@ def manifest(spark: SparkSession, extracts: dict[str, DataFrame]) -> DataFrame:
     """Every column of every extract, and every field left out with the reason."""
     rows = [(f"{name}.csv", c, "yes", "") for name, df in extracts.items() for c in df.columns]
     rows += [("(all)", name, "NO", f"{source}: {why}") for name, source, why in EXCLUDED]
-    return spark.createDataFrame(rows, "file string, column string, included string, note string")
+    return small_table(spark, rows, "file string, column string, included string, note string")

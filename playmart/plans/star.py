@@ -10,18 +10,13 @@ from playmart.functions.clock import daypart
 from playmart.functions.keys import attribute_hash, play_event_key
 from playmart.operators.ordered import dense_surrogate, keep_first, latest_observation
 from playmart.operators.versions import version_starts, with_epoch
+from playmart.session import small_table
 
 
 def with_members(df: DataFrame, *members: dict) -> DataFrame:
     """The dimension plus fixed members; columns a member does not name are NULL."""
-    spark = df.sparkSession
-    types = {f.name: f.dataType for f in df.schema.fields}
     rows = [tuple(m.get(c) for c in df.columns) for m in members]
-    text = spark.createDataFrame(
-        [tuple(None if v is None else str(v) for v in row) for row in rows],
-        ", ".join(f"`{c}` string" for c in df.columns),
-    )
-    typed = text.select(*[F.col(c).cast(types[c]).alias(c) for c in df.columns])
+    typed = small_table(df.sparkSession, rows, df.schema)
     return df.unionByName(typed)
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def build_session(app: str = "playmart", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,6 +25,35 @@ def build_session(app: str = "playmart", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "null"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, (int, float)):
+        return str(value)
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def small_table(
+    spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType
+) -> DataFrame:
+    """A handful of fixed rows as a local relation.
+
+    Unlike `createDataFrame` it needs no Python worker, and its exact size is known to the planner,
+    so joins with it are broadcast without a hint.
+    """
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    cols = ", ".join(f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in fields)
+    names = ", ".join(f"`{f.name}`" for f in fields)
+    if not rows:
+        empty = ", ".join(f"cast(null as {f.dataType.simpleString()}) as `{f.name}`" for f in fields)
+        return spark.sql(f"select {empty} where false")
+    values = ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
+    return spark.sql(f"select {cols} from values {values} as t({names})")
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the one setting results depend on; everything else is the cluster's business."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

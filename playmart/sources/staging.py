@@ -14,6 +14,15 @@ def _feed(raw: DataFrame, feed: str) -> DataFrame:
     return raw.filter(F.col("feed") == feed).withColumnRenamed("id", "raw_response_id")
 
 
+def _parsed(rows: DataFrame, schema: str, name: str) -> DataFrame:
+    """The rows with their payload parsed once.
+
+    A filter on a parsed field would be pushed down with a second parse inside it; the generator
+    keeps it above the one parse.
+    """
+    return rows.select("*", F.explode(F.array(F.from_json("payload", schema))).alias(name))
+
+
 def _has_key(payload: Column, key: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(payload), key), F.lit(False))
 
@@ -70,7 +79,7 @@ def recently_played(raw: DataFrame) -> DataFrame:
 
 def track(raw: DataFrame) -> DataFrame:
     """One row per track lookup, shaped like a recently-played item that was never played."""
-    rows = _feed(raw, "track").withColumn("track", F.from_json("payload", schemas.TRACK))
+    rows = _parsed(_feed(raw, "track"), schemas.TRACK, "track")
     return rows.filter("track.uri is not null").select(
         *_LINEAGE,
         F.lit(1).alias("item_ordinal"),
@@ -80,7 +89,7 @@ def track(raw: DataFrame) -> DataFrame:
 
 
 def artist(raw: DataFrame) -> DataFrame:
-    rows = _feed(raw, "artist").withColumn("a", F.from_json("payload", schemas.ARTIST))
+    rows = _parsed(_feed(raw, "artist"), schemas.ARTIST, "a")
     return rows.filter("a.id is not null").select(
         *_LINEAGE,
         F.col("a.id").alias("artist_id"),
@@ -155,7 +164,7 @@ def playlist_item(raw: DataFrame) -> DataFrame:
 
 def export_play_record(raw: DataFrame) -> DataFrame:
     """One row per exported play. The content type is whichever uri the record carries."""
-    rec = raw.withColumn("r", F.from_json("payload", schemas.EXPORT_RECORD))
+    rec = _parsed(raw, schemas.EXPORT_RECORD, "r")
     r = F.col("r")
     track_uri, episode_uri = r["spotify_track_uri"], r["spotify_episode_uri"]
     chapter_uri = r["audiobook_chapter_uri"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playmart.operators.ordered import split_scan
+from playmart.session import small_table
 
 PROFILE = "profile_slug"
 MARKS = "profile_slug string, high_water_mark timestamp"
@@ -91,7 +92,7 @@ def _marks_of(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.schema(MARKS).parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], MARKS)
+        return small_table(spark, [], MARKS)
 
 
 def start_gap_stream(
