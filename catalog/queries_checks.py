@@ -166,7 +166,7 @@ def m17(spark, d):
     h = w.history(spark, d).select(P, "part")
     names = [slug for slug, _, _ in w.PROFILES]
     pairs = small_table(
-        spark, list(combinations(names, 2)), "left_profile string, right_profile string"
+        spark, list(combinations(names, 2)), "left_id string, right_id string"
     )
     return ck.profile_overlaps(h, ["part"], pairs).drop("refused").withColumn("share", r("share", 6))
 

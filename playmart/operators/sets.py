@@ -53,3 +53,28 @@ def lump_rest(df: DataFrame, value: Column, keys: Sequence[str], top: int, name:
         .withColumn(name, F.when(F.col("__leads"), F.col(name)).otherwise(F.lit("other")))
         .drop("__leads")
     )
+
+
+def pair_overlaps(
+    members: DataFrame, owner: str, keys: Sequence[str], pairs: DataFrame
+) -> DataFrame:
+    """Sizes and shared keys of the asked pairs of owners.
+
+    `pairs` holds left_id and right_id. Each pair costs one pass over its left side and a semi join
+    into its right side: no key's owners are gathered, and pairs nobody asked for are not formed.
+    """
+    have = members.select(F.col(owner).alias("__owner"), *keys).dropna(subset=list(keys)).distinct()
+    sizes = have.groupBy("__owner").agg(F.count(F.lit(1)).alias("size"))
+    side = lambda name: have.withColumnRenamed("__owner", name)
+    size = lambda name, n: sizes.withColumnsRenamed({"__owner": name, "size": n})
+    shared = (
+        side("left_id").join(pairs, "left_id")
+        .join(side("right_id"), ["right_id", *keys], "left_semi")
+        .groupBy("left_id", "right_id").agg(F.count(F.lit(1)).alias("overlap"))
+    )
+    return (
+        pairs.join(size("left_id", "left_size"), "left_id")
+        .join(size("right_id", "right_size"), "right_id")
+        .join(shared, ["left_id", "right_id"], "left")
+        .withColumn("overlap", F.coalesce("overlap", F.lit(0)))
+    )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmart.config import EXPORT_PII_KEYS, OTHER_BUCKET, SETTINGS
+from playmart.operators.sets import pair_overlaps
 from playmart.sources.writers import fingerprint
 
 
@@ -178,35 +179,18 @@ def personal_keys(raw: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def profile_overlaps(
-    records: DataFrame, keys: Sequence[str | Column], pairs: DataFrame,
+    records: DataFrame, keys: Sequence[str], pairs: DataFrame,
     limit: float = SETTINGS.profile_overlap_limit,
 ) -> DataFrame:
     """For each asked pair of profiles, the share of the smaller one's plays the other also holds.
 
-    Plays are grouped by their set of holders, and only those sets meet the asked pairs; plays are
-    never paired with each other. `pairs`: left_profile, right_profile.
+    `pairs`: left_id, right_id. A pair above the limit is one person's export under two names.
     """
-    distinct = records.select("profile_slug", *keys).distinct()
-    sizes = distinct.groupBy("profile_slug").agg(F.count(F.lit(1)).alias("size"))
-    names = [c for c in distinct.columns if c != "profile_slug"]
-    holders = distinct.groupBy(*names).agg(
-        F.array_sort(F.collect_set("profile_slug")).alias("who")
-    ).groupBy("who").agg(F.count(F.lit(1)).alias("keys")).filter("size(who) > 1")
-    shared = (
-        holders.select("who", "keys", F.explode("who").alias("left_profile"))
-        .join(pairs, "left_profile")
-        .filter(F.array_contains("who", F.col("right_profile")))
-        .groupBy("left_profile", "right_profile").agg(F.sum("keys").alias("shared"))
-    )
-    left = sizes.withColumnsRenamed({"profile_slug": "left_profile", "size": "left_size"})
-    right = sizes.withColumnsRenamed({"profile_slug": "right_profile", "size": "right_size"})
-    share = F.col("shared") / F.least("left_size", "right_size")
-    return (
-        pairs.join(left, "left_profile").join(right, "right_profile")
-        .join(shared, ["left_profile", "right_profile"], "left")
-        .withColumn("shared", F.coalesce("shared", F.lit(0)))
-        .select("left_profile", "right_profile", "shared", share.alias("share"),
-                (share > limit).alias("refused"))
+    both = pair_overlaps(records, "profile_slug", keys, pairs)
+    share = F.col("overlap") / F.least("left_size", "right_size")
+    return both.select(
+        F.col("left_id").alias("left_profile"), F.col("right_id").alias("right_profile"),
+        F.col("overlap").alias("shared"), share.alias("share"), (share > limit).alias("refused"),
     )
 
 

@@ -16,7 +16,7 @@ from playmart.functions.text import (
     content_match_key, duration_text, normalise_name,
 )
 from playmart.operators.ordered import keep_first
-from playmart.operators.sets import missing_keys, tagged
+from playmart.operators.sets import missing_keys, pair_overlaps, tagged
 from playmart.session import small_table
 
 TIERS = ("content_uri", "isrc", "content_match_key")
@@ -187,22 +187,9 @@ def tier_nesting(left: DataFrame, right: DataFrame, on: Sequence[str] = ()) -> D
 def overlap_metrics(members: DataFrame, pairs: DataFrame, key: str = "content_uri") -> DataFrame:
     """Overlap, Jaccard and coverage for the asked pairs of playlists.
 
-    `members`: playlist_id and the key; `pairs`: left_id, right_id. Each pair costs one pass over
-    its left side; playlists nobody asked about are not compared.
+    `members`: playlist_id and the key; `pairs`: left_id, right_id.
     """
-    have = members.filter(F.col(key).isNotNull()).select("playlist_id", key).distinct()
-    sizes = have.groupBy("playlist_id").agg(F.count(F.lit(1)).alias("size"))
-    left = have.withColumnRenamed("playlist_id", "left_id").join(pairs, "left_id")
-    right = have.withColumnRenamed("playlist_id", "right_id")
-    shared = left.join(right, ["right_id", key], "left_semi").groupBy("left_id", "right_id").agg(
-        F.count(F.lit(1)).alias("overlap")
-    )
-    sized = pairs.join(
-        sizes.withColumnsRenamed({"playlist_id": "left_id", "size": "left_size"}), "left_id"
-    ).join(sizes.withColumnsRenamed({"playlist_id": "right_id", "size": "right_size"}), "right_id")
-    out = sized.join(shared, ["left_id", "right_id"], "left").withColumn(
-        "overlap", F.coalesce("overlap", F.lit(0))
-    )
+    out = pair_overlaps(members, "playlist_id", [key], pairs)
     union = F.col("left_size") + F.col("right_size") - F.col("overlap")
     return out.select(
         "left_id", "right_id", "left_size", "right_size", "overlap",

@@ -138,17 +138,40 @@ def _kind(schema: Column) -> Column:
     )
 
 
-def payload_keys(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """One row per top-level key of every payload: key and JSON type, values left behind."""
+def payload_keys(df: DataFrame, payload: str = "payload", nested: bool = False) -> DataFrame:
+    """One row per key of every payload: key and JSON type, values left behind.
+
+    With `nested`, the keys inside an object-valued key follow as `parent.child`.
+    """
     pairs = F.from_json(F.col(payload), "map<string,variant>")
-    rows = df.select(F.explode(pairs).alias("key", "value"))
-    return rows.select("key", _kind(F.schema_of_variant("value")).alias("kind"))
+    top = df.select(F.explode(pairs).alias("key", "value")).withColumn(
+        "kind", _kind(F.schema_of_variant("value"))
+    )
+    if not nested:
+        return top.select("key", "kind")
+    inner = F.when(
+        F.col("kind") == "object",
+        F.map_entries(F.try_variant_get("value", F.lit("$"), "map<string,variant>")),
+    )
+    own = F.struct(F.col("key").alias("key"), F.col("kind").alias("kind"))
+    below = F.transform(
+        F.coalesce(inner, F.expr("cast(array() as array<struct<key:string,value:variant>>)")),
+        lambda e: F.struct(
+            F.concat(F.col("key"), F.lit("."), e["key"]).alias("key"),
+            _kind(F.schema_of_variant(e["value"])).alias("kind"),
+        ),
+    )
+    return top.select(F.explode(F.concat(F.array(own), below)).alias("k")).select("k.*")
 
 
-def payload_key_schema(df: DataFrame, payload: str = "payload") -> DataFrame:
+def payload_key_schema(
+    df: DataFrame, payload: str = "payload", nested: bool = False
+) -> DataFrame:
     """Per key: the types seen, how many payloads carry a value, and the share that do."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    pairs = payload_keys(df, payload).groupBy("key", "kind").agg(F.count(F.lit(1)).alias("n"))
+    pairs = payload_keys(df, payload, nested).groupBy("key", "kind").agg(
+        F.count(F.lit(1)).alias("n")
+    )
     # six JSON types exist, so the set per key is of fixed size
     return pairs.groupBy("key").agg(
         F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("types"),
@@ -157,16 +180,35 @@ def payload_key_schema(df: DataFrame, payload: str = "payload") -> DataFrame:
     ).withColumn("non_null_share", F.round(F.col("non_null") / total, 4))
 
 
-def describe_shape(df: DataFrame, payload: str = "payload", depth: int = 4) -> DataFrame:
-    """Key paths and the JSON types at each, never values, down to `depth` levels.
+def nesting_depth(payload: Column) -> Column:
+    """How deep the brackets of a JSON text go, string contents aside."""
+    bare = F.regexp_replace(payload, r'"(?:[^"\\]|\\.)*"', "")
+    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
+    step = lambda m: F.when(m.isin("{", "["), 1).when(m.isin("}", "]"), -1).otherwise(0)
+    deepest = F.aggregate(
+        marks,
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda acc, m: F.struct(
+            (acc["now"] + step(m)).alias("now"),
+            F.greatest(acc["most"], acc["now"] + step(m)).alias("most"),
+        ),
+    )
+    return deepest["most"]
+
+
+def describe_shape(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Every key path and the JSON types seen there, never values.
 
-    Every level replaces its objects and arrays by their children in one narrow pass.
+    The depth is measured first (one number), then each level replaces its objects and arrays by
+    their children in one narrow pass.
     """
+    depth = df.agg(F.max(nesting_depth(F.col(payload))).alias("depth")).first()["depth"] or 0
     level = df.select(F.lit("$").alias("path"), F.parse_json(payload).alias("node"))
-    found = []
+    every = None
     for step in range(depth + 1):
         typed = level.withColumn("kind", _kind(F.schema_of_variant("node")))
-        found.append(typed.select("path", "kind"))
+        found = typed.select("path", "kind").distinct()
+        every = found if every is None else every.unionByName(found)
         if step == depth:
             break
         fields = F.transform(
@@ -181,31 +223,30 @@ def describe_shape(df: DataFrame, payload: str = "payload", depth: int = 4) -> D
         level = typed.select("path", F.explode(children).alias("c")).select(
             F.concat("path", "c.sep", "c.key").alias("path"), F.col("c.node").alias("node")
         )
-    every = found[0]
-    for part in found[1:]:
-        every = every.unionByName(part)
-    return every.distinct().groupBy("path").agg(
+    return every.groupBy("path").agg(
         F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("types")
     )
 
 
 def schema_frame(records: DataFrame, documented: Sequence[str], payload: str = "payload",
                  conditional: Sequence[str] = ()) -> DataFrame:
-    """Presence, null rate and types per field, beside what the documentation promises.
+    """Presence, null rate and types per field and sub-field, beside what the documentation promises.
 
-    A documented field no record carries is a row of its own, typed ABSENT.
+    A documented field no record carries is a row of its own, typed ABSENT; a sub-field is
+    documented when its parent is.
     """
     total = records.agg(F.count(F.lit(1))).scalar()
-    seen = payload_key_schema(records, payload).select(
-        F.col("key").alias("field"), "types", "present", "non_null"
+    seen = payload_key_schema(records, payload, nested=True).select(
+        F.col("key").alias("field"), "types", "present", "non_null",
+        F.substring_index("key", ".", 1).alias("name"),
     )
     promised = small_table(
         records.sparkSession, [(name, name in conditional) for name in documented],
-        "field string, conditional boolean",
+        "name string, conditional boolean",
     )
-    joined = seen.join(promised, "field", "full_outer")
+    joined = seen.join(promised, "name", "full_outer")
     return joined.select(
-        "field", F.coalesce("types", F.lit("ABSENT")).alias("types"),
+        F.coalesce("field", "name").alias("field"), F.coalesce("types", F.lit("ABSENT")).alias("types"),
         F.coalesce("present", F.lit(0)).alias("present"),
         F.round(1 - F.coalesce(F.col("non_null") / F.col("present"), F.lit(0.0)), 4).alias("null_rate"),
         F.when(F.col("types").isNull() & F.col("conditional"), "yes (conditional)")

@@ -269,7 +269,9 @@ def fct_play_event(plays: DataFrame, profiles: DataFrame, content: DataFrame) ->
         ),
         F.coalesce("profile_key", unknown).alias("profile_key"),
         F.coalesce("content_key", unknown).alias("content_key"),
-        F.coalesce(F.date_format(local, "yyyyMMdd").cast("int"), unknown).alias("date_key"),
+        F.coalesce(
+            F.year(local) * 10_000 + F.month(local) * 100 + F.dayofmonth(local), unknown
+        ).alias("date_key"),
         F.coalesce(F.hour(local) * 100 + F.minute(local), unknown).alias("time_of_day_key"),
         "ended_at_utc",
         is_qualified(F.col("ms_played"), F.col("__duration")).alias("is_qualified_play"),
