@@ -7,6 +7,8 @@ every query grows with the tables.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,16 @@ def _once(spark: SparkSession, d: str, what: str, build):
     return _memo[key]
 
 
+def planned(fn):
+    """Keep the (lazy) plan a view of the tables builds; nothing is computed or cached by it."""
+
+    @wraps(fn)
+    def view(spark: SparkSession, d: str) -> DataFrame:
+        return _once(spark, d, fn.__name__, lambda: fn(spark, d))
+
+    return view
+
+
 def text(col: str | Column) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast("string")
 
@@ -79,6 +91,7 @@ def type_of(part: Column) -> Column:
 # --- events: two overlapping sources --------------------------------------------------------------
 
 
+@planned
 def event_plays(spark: SparkSession, d: str) -> DataFrame:
     """Views and clicks as captured plays, the rest as exported ones, with three kinds of repeats."""
     e = table(spark, d, "events").select(
@@ -129,6 +142,7 @@ def event_plays(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@planned
 def event_content(spark: SparkSession, d: str) -> DataFrame:
     """The items the events name, as a content dimension: every second one has a known length."""
     keys = (
@@ -143,6 +157,7 @@ def event_content(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@planned
 def captured_pages(spark: SparkSession, d: str) -> DataFrame:
     """Views and clicks as the JSON pages a poll would have landed.
 
@@ -214,6 +229,7 @@ def polls(spark: SparkSession, d: str, size: int = 10, drop_every: int = 4) -> D
 # --- lineitem, orders, part: a long history -------------------------------------------------------
 
 
+@planned
 def history(spark: SparkSession, d: str) -> DataFrame:
     """Order lines as plays: a line was shipped when it was heard, and its quantity is how long."""
     li = table(spark, d, "lineitem").select(
@@ -221,7 +237,8 @@ def history(spark: SparkSession, d: str) -> DataFrame:
         "l_linestatus", utc("l_shipdate").alias("shipped"),
     )
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    rows = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    # both sides grow with the history, so neither is ever a broadcast side
+    rows = li.join(o.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     line, part, supp = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     order, cust = F.col("l_orderkey"), F.col("o_custkey")
     api = line == 7
@@ -278,6 +295,7 @@ REASONS = ("trackdone", "fwdbtn", "trackerror", "unknown", "endplay", "logout",
            "clickrow")
 
 
+@planned
 def catalogue(spark: SparkSession, d: str) -> DataFrame:
     """Parts as content, with natural keys: part n is content n + 1."""
     n = F.col("p_partkey")
@@ -310,6 +328,7 @@ def isrc_of(part: Column) -> Column:
     return F.concat(F.lit("USABC"), F.lpad((part % 10_000_000).cast("string"), 7, "0"))
 
 
+@planned
 def raw_tracks(spark: SparkSession, d: str) -> DataFrame:
     """A JSON document per resolved track; every fourth one was looked up again under a new name."""
     n, bn = F.col("p_partkey"), brand_number()
@@ -365,6 +384,7 @@ def raw_tracks(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@planned
 def raw_external(spark: SparkSession, d: str) -> DataFrame:
     """Recording-code lookups (one per part) and four observations of every external artist."""
     n, bn = F.col("p_partkey"), brand_number()
@@ -442,14 +462,17 @@ def tracks(spark: SparkSession, d: str) -> DataFrame:
     ).persist())
 
 
+@planned
 def credits(spark: SparkSession, d: str) -> DataFrame:
     return content.content_artists(tracks(spark, d))
 
 
+@planned
 def isrc_artists(spark: SparkSession, d: str) -> DataFrame:
     return content.isrc_artist(staging.isrc_lookup(raw_external(spark, d)))
 
 
+@planned
 def external_artists(spark: SparkSession, d: str) -> DataFrame:
     return staging.external_artist(raw_external(spark, d))
 
@@ -466,6 +489,7 @@ def tags(spark: SparkSession, d: str) -> DataFrame:
     ).persist())
 
 
+@planned
 def artists(spark: SparkSession, d: str) -> DataFrame:
     return content.artists_latest(
         stg_no_plays(spark, d), staging.track(raw_tracks(spark, d)),
@@ -473,6 +497,7 @@ def artists(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@planned
 def current_genres(spark: SparkSession, d: str) -> DataFrame:
     return content.artist_genres_current(
         artist_map(spark, d), external_artists(spark, d), tags(spark, d)
@@ -496,6 +521,7 @@ def br_artist_genre(spark: SparkSession, d: str) -> DataFrame:
     ).persist())
 
 
+@planned
 def br_content_artist(spark: SparkSession, d: str) -> DataFrame:
     return star.br_content_artist(credits(spark, d), catalogue(spark, d), dim_artist(spark, d))
 
@@ -514,6 +540,7 @@ def genre_seed(spark: SparkSession) -> DataFrame:
     return small_table(spark, rows, "genre_name string, bucket_name string")
 
 
+@planned
 def bucket_map(spark: SparkSession, d: str) -> DataFrame:
     return allocation.genre_bucket_map(dim_genre(spark, d), genre_seed(spark), buckets(spark))
 
@@ -522,13 +549,15 @@ def bucket_map(spark: SparkSession, d: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession) -> DataFrame:
-    return star.dim_date(spark, "2026-12-31", EPOCH)
+    return _once(spark, "", "dim_date", lambda: star.dim_date(spark, "2026-12-31", EPOCH))
 
 
+@planned
 def fact(spark: SparkSession, d: str) -> DataFrame:
     return star.fct_play_event(history(spark, d), profiles(spark), catalogue(spark, d))
 
 
+@planned
 def plays(spark: SparkSession, d: str) -> DataFrame:
     return enriched_plays(
         fact(spark, d), profiles(spark), dim_date(spark), star.dim_time_of_day(spark),
@@ -546,6 +575,7 @@ def windows(spark: SparkSession, d: str) -> DataFrame:
     ).persist())
 
 
+@planned
 def bucket_allocation(spark: SparkSession, d: str) -> DataFrame:
     return allocation.genre_bucket_allocation(
         fact(spark, d), profiles(spark), dim_date(spark), catalogue(spark, d),
@@ -554,6 +584,7 @@ def bucket_allocation(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@planned
 def event_fact(spark: SparkSession, d: str) -> DataFrame:
     return star.fct_play_event(
         dedupe_play_events(event_plays(spark, d)), profiles(spark), event_content(spark, d)
@@ -563,6 +594,7 @@ def event_fact(spark: SparkSession, d: str) -> DataFrame:
 # --- suppliers as playlists -----------------------------------------------------------------------
 
 
+@planned
 def playlist_items(spark: SparkSession, d: str) -> DataFrame:
     """Every line is an entry of its supplier's playlist in the year it shipped."""
     li = table(spark, d, "lineitem").select(
@@ -580,6 +612,7 @@ def playlist_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@planned
 def membership(spark: SparkSession, d: str) -> DataFrame:
     """One row per (snapshot, playlist, uri) with the three keys a comparison can match on."""
     first = keep_first(
@@ -598,6 +631,7 @@ def membership(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@planned
 def raw_playlists(spark: SparkSession, d: str) -> DataFrame:
     """A page per playlist and quarter; the size it reports moves in steps of fifty lines."""
     li = table(spark, d, "lineitem").select("l_suppkey", utc("l_shipdate").alias("at"))
