@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 from pyspark.sql import functions as F
@@ -12,10 +13,11 @@ from catalog.base import query, r, stamp, table, utc
 from catalog.queries_events import _poll_rows, _token_rows, raw_export
 from catalog.queries_history import dim_profile
 from catalog.queries_listening import ALL, REC, steps
+from playmart.operators.ordered import ranked
 from playmart.plans import checks as ck
 from playmart.plans.events import dedupe_play_events
-from playmart.session import small_table
-from playmart.sources import staging, writers as wr
+from playmart.session import shared_dir, small_table
+from playmart.sources import readers as rd, staging, writers as wr
 
 P = "profile_slug"
 
@@ -248,3 +250,61 @@ def a2(spark, d):
     ).distinct()
     stored = incoming.filter("source_file = 'history_1996.json' or record_index % 4 <> 1")
     return new_export_records(incoming, stored)
+
+
+_NAMES = """fn AS (SELECT DISTINCT CASE l_linenumber WHEN 1 THEN 'StreamingHistory_music_' || year(l_shipdate) WHEN 2 THEN 'notes_' || year(l_shipdate)
+  ELSE 'Streaming_History_Audio_' || year(l_shipdate) || '_' || (l_linenumber % 3) END || '.json' AS name, l_linenumber AS folder FROM lineitem)"""
+
+
+def _file_names(spark, d):
+    line, year = F.col("l_linenumber"), w.text(F.year("l_shipdate"))
+    name = (
+        F.when(line == 1, F.concat(F.lit("StreamingHistory_music_"), year))
+        .when(line == 2, F.concat(F.lit("notes_"), year))
+        .otherwise(F.concat(F.lit("Streaming_History_Audio_"), year, F.lit("_"), w.text(line % 3)))
+    )
+    return table(spark, d, "lineitem").select(
+        F.concat(name, F.lit(".json")).alias("name"), line.alias("folder")
+    ).distinct()
+
+
+@query("a3_extended_files", f"WITH {_NAMES} SELECT name, folder FROM fn WHERE folder > 2")
+def a3(spark, d):
+    return rd.extended_files(_file_names(spark, d))
+
+
+@query("a3_repeated_names", f"WITH {_NAMES} SELECT name, count(*) AS files FROM fn WHERE folder > 2 GROUP BY 1 HAVING count(*) > 1")
+def a3_twice(spark, d):
+    return rd.repeated_names(_file_names(spark, d))
+
+
+@query("a5_registry_errors", """WITH g AS (SELECT CASE WHEN c_acctbal < 0 THEN c_name ELSE lower(replace(c_name, '#', '_')) END AS profile_slug, CASE c_mktsegment WHEN 'BUILDING' THEN 'boss' ELSE 'self' END AS role, CASE WHEN c_nationkey < 3 THEN 'Mars/Base' ELSE 'Europe/Berlin' END AS tz FROM customer),
+ h AS (SELECT * FROM g UNION ALL SELECT * FROM g WHERE tz = 'Mars/Base')
+ SELECT profile_slug, 'profile_slug' AS rule FROM h WHERE NOT regexp_full_match(profile_slug, '[a-z][a-z0-9_]{0,31}') UNION ALL SELECT profile_slug, 'household_role' FROM h WHERE role = 'boss'
+ UNION ALL SELECT profile_slug, 'home_timezone' FROM h WHERE tz = 'Mars/Base' UNION ALL SELECT profile_slug, 'duplicate profile_slug' FROM h GROUP BY 1 HAVING count(*) > 1""")
+def a5(spark, d):
+    c = table(spark, d, "customer").select(
+        F.when(F.col("c_acctbal") < 0, F.col("c_name"))
+        .otherwise(F.lower(F.replace("c_name", F.lit("#"), F.lit("_")))).alias(P),
+        F.when(F.col("c_mktsegment") == "BUILDING", "boss").otherwise("self").alias("household_role"),
+        F.when(F.col("c_nationkey") < 3, "Mars/Base").otherwise("Europe/Berlin").alias("home_timezone"),
+    )
+    return rd.registry_errors(c.unionByName(c.filter("home_timezone = 'Mars/Base'")))
+
+
+@query("a6_append_responses", """SELECT 'isrc' AS feed, count(*) AS rows FROM part WHERE p_partkey % 17 <> 0 UNION ALL
+ SELECT 'artist', count(*) FROM (SELECT DISTINCT substr(p_brand, 7) AS bn, look FROM part, (VALUES (0), (1), (2), (3)) l(look) WHERE p_size <= 6 AND CAST(substr(p_brand, 7) AS INT) % 5 <> 0 AND p_partkey % 3 <= look)""")
+def a6(spark, d):
+    path = f"{shared_dir(spark)}/external-{uuid.uuid4().hex}"
+    wr.append_responses(w.raw_external(spark, d), path, wr.external_rules(), ("source", "feed"))
+    return spark.read.parquet(path).groupBy("feed").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("a8_write_sheet", "SELECT row_number() OVER (ORDER BY p_partkey) AS order_number, p_name AS song FROM part")
+def a8(spark, d):
+    sheet = ranked(
+        table(spark, d, "part").select("p_partkey", "p_name"), [F.asc("p_partkey")], "order_number"
+    ).select("order_number", F.col("p_name").alias("song"))
+    folder = f"{shared_dir(spark)}/sheets-{uuid.uuid4().hex}"
+    path = wr.write_sheet(sheet, folder, "Rock & Roll / 1")
+    return spark.read.schema("order_number bigint, song string").csv(path, header=True)

@@ -162,20 +162,19 @@ def p8_empty(spark, d):
     return pl.empty_playlists(_named(spark, d), thin).select("playlist_id")
 
 
-@query("p9_name_matches", f"""WITH s AS (SELECT s_suppkey, 'Mix’s ' || s_name AS n FROM supplier), a AS (SELECT DISTINCT CASE WHEN s_suppkey % 3 = 0 THEN 'mix''s ' || s_name WHEN s_suppkey % 3 = 1 THEN substr(s_name, 10) ELSE substr(s_name, 1, 17) || '?' END AS needle FROM supplier),
- f AS (SELECT needle, lower(needle) AS t FROM a), m AS (SELECT needle, count(*) FILTER (lower(replace(n, '’', '''')) = t) AS exact_names, count(*) FILTER (contains(lower(replace(n, '’', '''')), t)) AS loose_names,
+_NEEDLES = ("mix's supplier#000000003", "SUPPLIER#000000007", "0000001", "nobody", "mix’s supplier")
+_NSQL = ", ".join("('" + n.replace("'", "''") + "')" for n in _NEEDLES)
+
+
+@query("p9_name_matches", f"""WITH s AS (SELECT 'Mix’s ' || s_name AS n FROM supplier), a(needle) AS (VALUES {_NSQL}), f AS (SELECT needle, lower(replace(needle, '’', '''')) AS t FROM a),
+ m AS (SELECT needle, count(*) FILTER (lower(replace(n, '’', '''')) = t) AS exact_names, count(*) FILTER (contains(lower(replace(n, '’', '''')), t)) AS loose_names,
   min(n) FILTER (lower(replace(n, '’', '''')) = t) AS en, min(n) FILTER (contains(lower(replace(n, '’', '''')), t)) AS ln FROM f, s GROUP BY 1)
  SELECT needle, exact_names, loose_names, CASE WHEN exact_names = 1 THEN en WHEN exact_names = 0 AND loose_names = 1 THEN ln END AS resolved, exact_names = 1 AS is_exact FROM m""")
 def p9(spark, d):
-    s = table(spark, d, "supplier")
-    names = s.select(F.concat(F.lit("Mix’s "), "s_name").alias("playlist_name"))
-    n = F.col("s_suppkey") % 3
-    needle = (
-        F.when(n == 0, F.concat(F.lit("mix's "), F.col("s_name")))
-        .when(n == 1, F.substring("s_name", 10, 30))
-        .otherwise(F.concat(F.substring("s_name", 1, 17), F.lit("?")))
+    names = table(spark, d, "supplier").select(
+        F.concat(F.lit("Mix’s "), "s_name").alias("playlist_name")
     )
-    return pl.name_matches(names, s.select(needle.alias("needle")).distinct())
+    return pl.name_matches(names, _NEEDLES)
 
 
 @query("p9_any_word_candidates", f"""WITH {o.MEMBERS}, {_PK} SELECT 'Mix’s ' || playlist_id AS playlist_name, k * 2 AS track_total, CAST(count(*) AS BIGINT) AS loaded FROM pk JOIN mem USING (playlist_id)

@@ -156,12 +156,15 @@ def unregistered_profiles(plays: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def identical_profiles(records: DataFrame, values: Sequence[str]) -> DataFrame:
-    """Pairs of profiles holding the same records, whatever their order."""
+    """Profiles holding the same records as another, whatever their order.
+
+    Each one is reported beside the first profile of its group, so a group of n gives n - 1 rows.
+    """
     marks = fingerprint(records, ["profile_slug"], values)
     on = [c for c in marks.columns if c != "profile_slug"]
-    twin = marks.withColumnRenamed("profile_slug", "twin")
-    return marks.join(twin, on).filter("profile_slug < twin").select(
-        "profile_slug", "twin", "row_count"
+    first = marks.groupBy(*on).agg(F.min("profile_slug").alias("first"))
+    return marks.join(first, on).filter(F.col("profile_slug") > F.col("first")).select(
+        F.col("first").alias("profile_slug"), F.col("profile_slug").alias("twin"), "row_count"
     )
 
 

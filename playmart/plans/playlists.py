@@ -232,41 +232,45 @@ def orphan_summary(membership: DataFrame, content: DataFrame) -> DataFrame:
     )
 
 
-def name_matches(names: DataFrame, needles: DataFrame, column: str = "playlist_name") -> DataFrame:
-    """Resolve every needle: an exact folded name wins, else the only name containing it.
+def name_matches(
+    names: DataFrame, needles: Sequence[str], column: str = "playlist_name"
+) -> DataFrame:
+    """Resolve every typed name: an exact folded match wins, else the only name containing it.
 
-    `needles`: one column `needle`. The result says how many names fit exactly and loosely, and
-    the resolved name with whether it was exact; no name when nothing or several fit.
+    The result says how many names fit exactly and loosely, and the resolved name with whether it
+    was exact; no name when nothing or several fit. The table of names is read once.
     """
-    folded = names.select(column).distinct().withColumn("__n", normalise_name(F.col(column)))
-    asked = needles.withColumn("__t", normalise_name(F.col("needle")))
-    exact = asked.join(folded, F.col("__t") == F.col("__n"), "left").groupBy("needle").agg(
-        F.count(column).alias("exact_names"), F.min(column).alias("exact_name")
+    asked = F.array(
+        *[F.struct(F.lit(n).alias("needle"), normalise_name(F.lit(n)).alias("t")) for n in needles]
     )
-    # the needles are what a person typed; they are matched in one pass over the names
-    patterns = F.array_sort(F.collect_set(F.struct("__t", "needle")))
-    loose = folded.withColumn("__asked", asked.agg(patterns).scalar()).select(
-        column, F.explode(F.filter("__asked", lambda a: F.col("__n").contains(a["__t"]))).alias("a")
-    ).groupBy(F.col("a.needle").alias("needle")).agg(
-        F.count(F.lit(1)).alias("loose_names"), F.min(column).alias("loose_name")
+    folded = names.select(column).distinct().withColumn("__n", normalise_name(F.col(column)))
+    near = F.filter(asked, lambda a: F.col("__n").contains(a["t"]))
+    found = folded.select(column, "__n", F.explode(near).alias("a"))
+    exact = F.col("__n") == F.col("a.t")
+    counts = found.groupBy("a.needle").agg(
+        F.count_if(exact).alias("exact_names"), F.min(F.when(exact, F.col(column))).alias("exact_name"),
+        F.count(F.lit(1)).alias("loose_names"), F.min(column).alias("loose_name"),
     )
     one = F.when(F.col("exact_names") == 1, F.col("exact_name")).when(
         (F.col("exact_names") == 0) & (F.col("loose_names") == 1), F.col("loose_name")
     )
-    return exact.join(loose, "needle", "left").select(
-        "needle", "exact_names", F.coalesce("loose_names", F.lit(0)).alias("loose_names"),
-        one.alias("resolved"), (F.col("exact_names") == 1).alias("is_exact"),
+    every = small_table(names.sparkSession, [(n,) for n in needles], "needle string")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("exact_names", "loose_names")}
+    return every.join(counts, "needle", "left").withColumns(zero).select(
+        "needle", "exact_names", "loose_names", one.alias("resolved"),
+        (F.col("exact_names") == 1).alias("is_exact"),
     )
 
 
 def resolve_name(names: DataFrame, needle: str, column: str = "playlist_name") -> tuple[str, bool]:
     """The one name that fits and whether it fits exactly; an error names the candidates."""
-    asked = small_table(names.sparkSession, [(needle,)], "needle string")
-    row = name_matches(names, asked, column).first()
-    if row and row["resolved"] is not None:
+    row = name_matches(names, [needle], column).first()
+    if row["resolved"] is not None:
         return row["resolved"], row["is_exact"]
     near = [r[0] for r in candidates(names, needle, column).limit(15).collect()]
-    raise PlaylistNameError(f"{needle!r} fits {len(near)} playlist(s): {near or 'none'}")
+    raise PlaylistNameError(
+        f"{needle!r} fits {row['loose_names']} playlist(s), among them: {near or 'none'}"
+    )
 
 
 def candidates(names: DataFrame, needle: str, column: str = "playlist_name") -> DataFrame:

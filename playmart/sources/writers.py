@@ -117,3 +117,16 @@ def backfill_feed(raw: DataFrame, patterns: dict[str, str]) -> DataFrame:
 def write_extract(df: DataFrame, path: str) -> None:
     """CSV with a header. Files follow Spark's partitions; a spreadsheet-sized extract has one."""
     df.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").csv(path, header=True)
+
+
+def sheet_path(folder: str, playlist: str) -> str:
+    """Where a playlist's sheet goes; what a file system may refuse becomes an underscore."""
+    safe = "".join(c if c.isalnum() or c in "-_" else "_" for c in playlist)
+    return f"{folder}/playlist_{safe}.csv"
+
+
+def write_sheet(sheet: DataFrame, folder: str, playlist: str, order: str = "order_number") -> str:
+    """One playlist as CSV in playlist order; returns the path."""
+    path = sheet_path(folder, playlist)
+    write_extract(sheet.orderBy(order), path)
+    return path

@@ -139,3 +139,11 @@ def test_records_at(rows):
     docs = rows([(1, '{"artists":{"items":[{"id":1},2,{"id":3}]}}'), (2, '{"id":9}')], "id int, payload string")
     assert staging.records_at(docs, "artists.items").count() == 2
     assert staging.records_at(docs, "self").count() == 2
+
+
+def test_sheet_is_written_under_a_safe_name(spark, rows, tmp_path):
+    sheet = rows([(2, "b"), (1, "a"), (3, "c")], "order_number int, song string")
+    path = wr.write_sheet(sheet, str(tmp_path), "Rock & Roll / 1")
+    assert path.endswith("playlist_Rock___Roll___1.csv")
+    back = spark.read.schema("order_number int, song string").csv(path, header=True)
+    assert sorted(r["song"] for r in back.collect()) == ["a", "b", "c"]
