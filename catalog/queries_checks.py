@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from catalog import oracle as o
 from catalog import world as w
-from catalog.base import query, r, stamp, table, utc
+from catalog.base import query, r, stamp, table
 from catalog.queries_events import _poll_rows, _token_rows, raw_export
 from catalog.queries_history import dim_profile
 from catalog.queries_listening import ALL, REC, steps

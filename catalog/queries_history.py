@@ -8,7 +8,7 @@ from catalog import oracle as o
 from catalog import world as w
 from catalog.base import day, query, r, stamp, table, utc
 from catalog.queries_events import _me, _token_rows, raw_export
-from catalog.queries_listening import CUR, REC
+from catalog.queries_listening import CUR
 from playmart.functions.text import (
     content_match_key, duration_text, endpoint_template, fold_text, is_mbid, normalise_name,
     normalize_isrc, platform_family, track_id_from_uri,
@@ -55,9 +55,6 @@ def l3(spark, d):
     )
 
 
-_FIELDS = ("source_system", "event_type", "reason_end")
-
-
 def _cells(cols, source):
     return " UNION ALL ".join(f"SELECT '{c}' AS field, CAST({c} AS VARCHAR) AS value FROM {source}" for c in cols)
 
@@ -370,18 +367,14 @@ def l26(spark, d):
 # --- text functions -------------------------------------------------------------------------------
 
 
-def _fold_sql(x):
-    return o.fold(x)
-
-
-@query("n1_fold_text", f"""SELECT doc_id, md5({_fold_sql("lower(text)")}) AS folded FROM documents""")
+@query("n1_fold_text", f"""SELECT doc_id, md5({o.fold("lower(text)")}) AS folded FROM documents""")
 def n1(spark, d):
     return table(spark, d, "documents").select(
         "doc_id", F.md5(fold_text(F.col("text"))).alias("folded")
     )
 
 
-@query("n2_content_match_key", f"""SELECT p_partkey, {_fold_sql("p_name")} || '|' || {_fold_sql("CASE WHEN p_partkey % 37 <> 0 THEN p_brand END")} AS match_key FROM part""")
+@query("n2_content_match_key", f"""SELECT p_partkey, {o.fold("p_name")} || '|' || {o.fold("CASE WHEN p_partkey % 37 <> 0 THEN p_brand END")} AS match_key FROM part""")
 def n2(spark, d):
     creator = F.when(F.col("p_partkey") % 37 != 0, F.col("p_brand"))
     return table(spark, d, "part").select(
@@ -483,10 +476,6 @@ def g11(spark, d):
     return w.current_genres(spark, d)
 
 
-_EC = f"""{HX}, ec AS (SELECT content_uri, arg_max(nm, (ended, raw_id)) AS content_name, {o.fold("min(nm || '|' || creator)")} AS content_match_key
-  FROM (SELECT *, content_name || CASE WHEN year(ended) = 1997 THEN ' LIVÉ' ELSE '' END AS nm FROM hx) GROUP BY 1)"""
-
-
 def _export_rows(spark, d):
     """Export records whose names vary over the years."""
     live = F.when(F.year("ended_at_utc") == 1997, F.lit(" LIVÉ")).otherwise("")

@@ -82,7 +82,3 @@ def duration_text(ms: Column) -> Column:
         F.floor(seconds / 60).cast("string"), F.lit(":"), F.lpad((seconds % 60).cast("string"), 2, "0")
     )
     return F.coalesce(text, F.lit(""))
-
-
-def safe_filename(name: Column) -> Column:
-    return F.regexp_replace(name, r"[^\p{L}\p{N}_-]", "_")

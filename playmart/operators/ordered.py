@@ -103,7 +103,7 @@ def split_scan(
         final[row_number] = (F.col("__base_n") + F.col("__in")).cast("bigint")
 
     edges = rows.groupBy(*part).agg(*ends).withColumns(stitched)
-    edges = edges.select(*part, *[c for c in edges.columns if c.startswith(("__prev", "__next", "__base", "__top"))], "__n")
+    edges = edges.select(*part, "__n", *stitched)
     return (
         rows.withColumns(local)
         .join(edges, part)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmart.functions.text import content_match_key, is_mbid
-from playmart.operators.ordered import keep_first, latest_observation
+from playmart.operators.ordered import latest_observation
 
 
 def _with_match_key(df: DataFrame, name: str, creator: str) -> DataFrame:
@@ -229,7 +229,3 @@ def artist_genres_current(mapping: DataFrame, responses: DataFrame, tags: DataFr
     return known.join(newest, "artist_mbid").join(
         tags.select("raw_response_id", "tag_type", "tag_name", "vote_count"), "raw_response_id"
     ).select("artist_id", "artist_mbid", "tag_type", "tag_name", "vote_count")
-
-
-def first_credit(df: DataFrame) -> DataFrame:
-    return keep_first(df, ["content_uri"], [F.asc("artist_ordinal")])

@@ -8,17 +8,12 @@ from pyspark.sql import functions as F
 from playmart.config import CONTENT_TYPES
 from playmart.operators.ordered import keep_first
 
-_API_ONLY = {
-    "played_at_utc": "ended_at_utc",
-}
-
-
 def union_play_events(api: DataFrame, export: DataFrame) -> DataFrame:
     """Recently-played items and export records under one set of columns.
 
     The API tells neither duration nor flags, so those stay NULL there.
     """
-    from_api = api.withColumnsRenamed(_API_ONLY).select(
+    from_api = api.withColumnRenamed("played_at_utc", "ended_at_utc").select(
         "profile_slug", "content_uri", "content_type", "ended_at_utc",
         F.lit("api").alias("source_system"), "source_file", "ingested_at", "raw_response_id",
         "item_ordinal",

@@ -9,14 +9,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playmart.functions.text import (
     content_match_key, duration_text, normalise_name,
 )
-from playmart.operators.ordered import keep_first
-from playmart.operators.sets import missing_keys, pair_overlaps, tagged
+from playmart.operators.ordered import ranked, split_scan
+from playmart.operators.sets import pair_overlaps, tagged
 from playmart.session import small_table
 
 TIERS = ("content_uri", "isrc", "content_match_key")
@@ -332,8 +332,6 @@ def playlist_sheet(
     annotations: Sequence[str] = ANNOTATIONS,
 ) -> DataFrame:
     """One row per member of one playlist (or of each, when `playlist` names its columns)."""
-    from playmart.operators.ordered import split_scan
-
     c = content.select(
         "content_key", F.col("content_name").alias("c_name"),
         F.col("primary_creator_name").alias("c_creator"), F.col("duration_ms").alias("c_ms"),
@@ -350,8 +348,6 @@ def playlist_sheet(
             row_number="order_number",
         )
     else:
-        from playmart.operators.ordered import ranked
-
         numbered = ranked(members, [F.asc(x) for x in number_by], "order_number")
     rows = (
         numbered.join(c, "content_key", "left").join(d, "content_key", "left")
@@ -390,14 +386,3 @@ def sheet_coverage(sheet: DataFrame, annotations: Sequence[str] = ANNOTATIONS) -
     return rows.filter("of > 0").withColumn(
         "pct", F.round(F.lit(100.0) * F.col("populated") / F.col("of"), 0)
     )
-
-
-def absent_keys(left: DataFrame, right: DataFrame, tier: str) -> DataFrame:
-    return missing_keys(left, right, [tier])
-
-
-def lowest_position(items: DataFrame) -> DataFrame:
-    return keep_first(
-        items, ["snapshot_date", "playlist_id", "content_uri"],
-        [F.asc("position"), F.asc("raw_response_id")],
-    )
