@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -23,7 +25,10 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    from catalog.base import QUERIES
+
+    apart = {name for name in entry.queries() if name == "pipeline" or re.match(r"op\d+_", name)}
+    assert set(entry.oracle_sql()) - apart == set(QUERIES) - apart == set(entry.queries()) - apart
 
 
 def test_entry_runs(spark):
