@@ -95,10 +95,11 @@ def pigeonring_edges(points: DataFrame, budget: int = 3, segments: int = 4) -> D
     keys = [_key(fp, i, segments, bits) for i in range(segments)]
     exact = points.select("node", "fp", F.explode(F.array(*keys)).alias("key"))
     flips = F.array(*[F.lit(m).cast("long") for m in masks])
-    near = points.select(
-        "node", "fp",
-        F.explode(F.flatten(F.array(*[F.transform(flips, lambda m, k=k: k.bitwiseXOR(m)) for k in keys]))).alias("key"),
-    )
+
+    def allowed(key: Column) -> Column:
+        return F.transform(flips, lambda m: key.bitwiseXOR(m))
+
+    near = points.select("node", "fp", F.explode(F.flatten(F.array(*map(allowed, keys)))).alias("key"))
     hot = stored(
         exact.groupBy("key").count().filter(F.col("count") > BLOCK)
         .select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "hot-keys",
