@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import langid, simhash
+from playmart.llm import decontam, langid, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per leak: a document, the item it holds, the word edits between them."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return (
+        decontam.find_leaks(docs, _read(spark, sf_dir, "benchmark"))
+        .select("row.doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+    )
+
+
 @_query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
