@@ -17,14 +17,14 @@ from playmart.session import shared_dir
 BROADCAST_ROWS = 200_000
 
 
-def annotate(docs: DataFrame, inputs: list[Column], make: Callable, outputs: str) -> DataFrame:
+def annotate(docs: DataFrame, inputs: list[Column], make: Callable, outputs: str, carry: list[str] | None = None) -> DataFrame:
     """One pass of Python over Arrow batches that keeps every row whole.
 
-    Returns the columns `row` (a struct of all of `docs`' columns, passed through untouched, so that
-    no output can clash with them) and `outputs`. `make()` is called once per task and gives a
+    Returns the columns `row` (a struct of all of `docs`' columns, or of those in `carry`, passed
+    through untouched, so that no output can clash with them) and `outputs`. `make()` is called once per task and gives a
     function from the inputs' Arrow arrays to one list or array per output.
     """
-    src = docs.select(F.struct("*").alias("row"), *[c.alias(f"_{i}") for i, c in enumerate(inputs)])
+    src = docs.select(F.struct(*(carry or ["*"])).alias("row"), *[c.alias(f"_{i}") for i, c in enumerate(inputs)])
     out = T.StructType.fromDDL(outputs)
     schema = T.StructType([src.schema["row"], *out.fields])
     names = ["row", *out.names]
@@ -63,14 +63,14 @@ class Stored(NamedTuple):
 _scratch: dict[str, list[Stored]] = {}
 
 
-def stored(df: DataFrame, name: str) -> Stored:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> Stored:
     """Write `df` as Parquet under the cluster's checkpoint folder and read it back.
 
     This cuts the lineage: a lost executor re-reads the files, which every node can reach.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     made = Stored(spark.read.schema(df.schema).parquet(path), path)
     _scratch.setdefault(spark.sparkContext.applicationId, []).append(made)
     return made

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import decontam, langid, simhash
+from playmart.llm import bfd_packing, decontam, langid, retrieval_packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = retrieval_packing.pack(_read(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 @_query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
@@ -44,3 +50,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_bfd_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bfd_packing.pack(_read(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -47,8 +47,8 @@ def fingerprint(text: str | None, words_per_shingle: int = 3) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def with_fingerprints(docs: DataFrame, text: str = "text", words_per_shingle: int = 3) -> DataFrame:
-    """`row` (all columns of docs) and `fp` (the fingerprint's 64 bits as a signed long)."""
+def with_fingerprints(docs: DataFrame, text: str = "text", words_per_shingle: int = 3, carry: list[str] | None = None) -> DataFrame:
+    """`row` (all columns of docs, or those in `carry`) and `fp` (the fingerprint's 64 bits as a signed long)."""
 
     def make():
         def work(texts):
@@ -57,7 +57,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", words_per_shingle: in
 
         return work
 
-    return annotate(docs, [F.col(text)], make, "fp long")
+    return annotate(docs, [F.col(text)], make, "fp long", carry)
 
 
 def _masks(bits: int, first: int, two: int) -> list[int]:
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     null component. Repeated rows give repeated results. Other columns are not read.
     """
     prints = stored(
-        with_fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", words_per_shingle)
+        with_fingerprints(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), "text", words_per_shingle, ["doc_id"])
         .select(F.col("row.doc_id").alias("doc_id"), "fp"), "fingerprints",
     ).rows
     points = stored(prints.filter("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node")), "points").rows
