@@ -82,6 +82,6 @@ def clear_scratch(spark: SparkSession) -> None:
         made.drop()
 
 
-def join_counted(df: DataFrame, side: DataFrame, on: str, how: str, rows: int) -> DataFrame:
+def join_counted(df: DataFrame, side: DataFrame, on: str | list[str], how: str, rows: int) -> DataFrame:
     """Join a side whose rows have been counted: broadcast up to BROADCAST_ROWS, shuffled beyond."""
     return df.join(F.broadcast(side) if rows <= BROADCAST_ROWS else side, on, how)

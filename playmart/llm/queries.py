@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import bfd_packing, decontam, langid, retrieval_packing, simhash
+from playmart.llm import bfd_packing, decontam, langid, pii, retrieval_packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,17 @@ def op8_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_bfd_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bfd_packing.pack(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_read(spark, sf_dir, "documents"))
+
+    def joined(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def counted(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(counted, pii.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"),
+                        joined("spans").alias("spans"))
