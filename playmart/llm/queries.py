@@ -7,10 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import bfd_packing, decontam, langid, order_minhash, pii, retrieval_packing, simhash
+from playmart.llm import bfd_packing, chat, decontam, langid, order_minhash, pii, retrieval_packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_chat_format": r"""
+        with turns as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+            union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), told as (
+            select conv_id, turn, role, text,
+                   regexp_replace(role, '(<)(\\*(?:\||/?s>))|(\[)(\\*/?INST\])', '\1\3\\\2\4', 'g') as shown_role,
+                   regexp_replace(text, '(<)(\\*(?:\||/?s>))|(\[)(\\*/?INST\])', '\1\3\\\2\4', 'g') as shown
+            from turns
+        )
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+               cast(coalesce(sum(length(text)) filter (where role = 'assistant'), 0) as bigint) as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+               cast(sum(length('<|turn|>' || shown_role || '<|text|>' || chr(10) || shown || '<|end|>' || chr(10))) as bigint) as formatted_chars
+        from told group by conv_id""",
+}
 
 
 def _query(fn):
@@ -52,6 +70,21 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "lang_pred", "score", "accepted").withColumn("held_out", held_out)
 
 
+@_query
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.sql("""
+        select cast(-7 as bigint) conv_id, cast(turn as bigint) turn, role, '</s>[INST] ok [/INST]' text
+        from values (0, 'user'), (1, 'assistant') as t(turn, role)""")
+    chats = chat.format_chats(given.union(control).withColumn("content", chat.text_parts(F.col("text"))))
+    turns, learned = chat.read_back(F.col("formatted")), chat.learned_text(F.col("formatted"), F.col("spans"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.withColumn("turns", turns).withColumn("learned", learned).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
 @_query
 def op8_simhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
