@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import bfd_packing, chat, decontam, langid, order_minhash, pii, retrieval_packing, simhash
+from playmart.llm import bfd_packing, chat, decontam, langid, order_minhash, pii, retrieval_packing, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -40,6 +40,17 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+URL_RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+    ("block", "net/es/"), ("block", "net/fr/"),
+)
+
+
+@_query
+def op1_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_pages(_read(spark, sf_dir, "pages"), URL_RULES)
+
+
 @_query
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per leak: a document, the item it holds, the word edits between them."""
