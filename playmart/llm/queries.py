@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import bfd_packing, chat, decontam, langid, order_minhash, pii, retrieval_packing, simhash, urls
+from playmart.llm import bfd_packing, chat, decontam, langid, order_minhash, ordinal_quality, pii, retrieval_packing, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -61,6 +61,16 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op3_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grade 0: toxic, 1: neither toxic nor good, 2: good and not toxic."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("toxic") == 0, 1 + F.col("quality"))
+    model = ordinal_quality.fit(docs, _read(spark, sf_dir, "labels"), grade, 3)
+    return ordinal_quality.rate(docs, model, carry=["doc_id"]).select(
+        "row.doc_id", "expected_grade", F.col("tails")[0].alias("p_grade_1"), F.col("tails")[1].alias("p_grade_2"), "grade", "keep")
+
+
 @_query
 def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = retrieval_packing.pack(_read(spark, sf_dir, "documents"))
