@@ -7,10 +7,9 @@ set the temperature of the scores and the score below which a text is rejected.
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -19,20 +18,20 @@ from pyspark.sql import functions as F
 from playmart.llm.common import annotate
 
 UNKNOWN = "und"
-WORD = re.compile(r"[^\W\d_]+")
-# Words whose subwords a task remembers; the store is emptied when full, so memory stays bounded.
-REMEMBERED = 200_000
+# Positions of a text that are hashed at a time, so that memory stays bounded for very long texts.
+BLOCK = 1 << 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
 @dataclass(frozen=True)
 class Settings:
     buckets: int = 1 << 15
     width: int = 16
-    grams: tuple[int, ...] = (2, 3)
+    grams: tuple[int, ...] = (2, 3, 4)
     epochs: int = 12
     rate: float = 0.5
     sample: int = 2400  # labelled rows the model is fitted on (about as many; never over twice that)
-    words: int = 2000  # a training row is cut into blocks of so many words; every block is used
     calibration: float = 0.25  # share of the sample that sets temperature and rejection only
     rejected: float = 0.001  # share of rightly labelled calibration rows that may be rejected
     certain: float = 0.5  # a score of this or more is never rejected
@@ -49,24 +48,43 @@ class Model:
     settings: Settings
 
 
-def subwords(word: str, settings: Settings) -> list[int]:
-    """Buckets of the word and of its character n-grams, with marks at both ends."""
-    marked = f"<{word.lower()}>"
-    parts = {marked, *(marked[i : i + n] for n in settings.grams for i in range(len(marked) - n + 1))}
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % settings.buckets for p in parts]
+@cache
+def _letters() -> np.ndarray:
+    """For every code point, whether it is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def _bag(words: list[str], settings: Settings, known: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray] | None:
-    found: Counter = Counter()
-    for word, n in Counter(words).items():
-        if word not in known:
-            known[word] = subwords(word, settings)
-        for b in known[word]:
-            found[b] += n
-    if not found:
-        return None
-    ids, n = np.fromiter(found, np.int64, len(found)), np.fromiter(found.values(), np.float64, len(found))
-    return ids, n / n.sum()
+def subwords(text: str | None, settings: Settings) -> Iterator[np.ndarray]:
+    """Buckets of all character n-grams of all words, each word with a mark at either end.
+
+    Whatever is no letter is a mark; an n-gram may begin and end with a mark but hold none inside,
+    and holds a letter. Nothing is yielded for a text without letters.
+    """
+    if not text:
+        return
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _letters()[codes]
+    codes = np.where(letter, codes, 0).astype(np.uint64)
+    for n in settings.grams:
+        for a in range(0, len(codes) - n + 1, BLOCK):
+            b = min(a + BLOCK, len(codes) - n + 1)
+            good = letter[a:b] | letter[a + 1 : b + 1] if n == 2 else letter[a + 1 : b + 1]
+            h = codes[a:b]
+            for i in range(1, n):
+                h = h * _ODD + codes[a + i : b + i]
+                if 1 < i < n - 1:
+                    good = good & letter[a + i : b + i]
+            h = h[good] * _MIX
+            if len(h):
+                yield ((h >> np.uint64(32)) * np.uint64(settings.buckets) >> np.uint64(32)).astype(np.int64)
+
+
+def _bag(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray] | None:
+    n = np.zeros(settings.buckets)
+    for ids in subwords(text, settings):
+        n += np.bincount(ids, minlength=settings.buckets)
+    ids = np.flatnonzero(n)
+    return (ids, n[ids] / n.sum()) if len(ids) else None
 
 
 def train(rows: list[tuple[str, str]], settings: Settings = Settings()) -> Model:
@@ -74,13 +92,9 @@ def train(rows: list[tuple[str, str]], settings: Settings = Settings()) -> Model
     rng = np.random.default_rng(settings.seed)
     order = rng.permutation(len(rows))
     bags: list[tuple] = []
-    known: dict[str, list[int]] = {}
     for at, i in enumerate(order):
-        words, held = WORD.findall(rows[i][0] or ""), at < settings.calibration * len(rows)
-        step = max(1, len(words)) if held else settings.words
-        for k in range(0, len(words), step):
-            if (bag := _bag(words[k : k + step], settings, known)) is not None:
-                bags.append((*bag, rows[i][1], held))
+        if (bag := _bag(rows[i][0], settings)) is not None:
+            bags.append((*bag, rows[i][1], at < settings.calibration * len(rows)))
     labels = tuple(sorted({b[2] for b in bags}))
     if not labels:
         return Model((), np.zeros((settings.buckets, 0), np.float32), np.zeros(0, np.float32), 1.0, 1.0, settings)
@@ -145,29 +159,17 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def make():
         m = broadcast.value
-        memory: dict[str, tuple[np.ndarray, int]] = {}
-
-        def evidence(word: str):
-            got = memory.get(word)
-            if got is None:
-                if len(memory) >= REMEMBERED:
-                    memory.clear()
-                ids = subwords(word, m.settings)
-                got = memory[word] = (m.table[ids].sum(axis=0), len(ids))
-            return got
 
         def work(texts):
             names, scores, sure = [], [], []
             for value in texts.to_pylist():
-                words = Counter(WORD.findall(value)) if value and m.labels else None
-                if not words or not any(c.isalpha() for w in words for c in w):
+                total, n = np.zeros(len(m.labels)), 0
+                for ids in subwords(value, m.settings) if m.labels else ():
+                    total, n = total + np.ones(len(ids), np.float32) @ m.table.take(ids, axis=0), n + len(ids)
+                if not n:
                     names.append(UNKNOWN), scores.append(0.0), sure.append(False)
                     continue
-                n = np.fromiter(words.values(), np.float64, len(words))
-                parts = [evidence(w) for w in words]
-                total = n @ np.array([p[0] for p in parts])
-                z = total / (n @ np.array([p[1] for p in parts])) + m.bias
-                p = _softmax(z[None, :] / m.temperature)[0]
+                p = _softmax((total / n + m.bias)[None, :] / m.temperature)[0]
                 best = int(p.argmax())
                 names.append(m.labels[best]), scores.append(float(p[best])), sure.append(bool(p[best] >= m.threshold))
             return [names, scores, sure]

@@ -21,11 +21,11 @@ from playmart.llm.common import annotate
 class Settings:
     buckets: int = 1 << 18
     sample: int = 12_000  # rated rows the model is fitted on (about as many; never over twice that)
-    epochs: int = 8
+    epochs: int = 12
     rate: float = 0.3
     decay: float = 1e-5
     prefix: int = 5  # bytes of a word's beginning that are a feature of their own
-    certain: float = 4.0  # standard errors by which a bucket must tell grades apart to get a weight
+    certain: float = 2.5  # standard errors by which a bucket must tell grades apart to get a weight
     seed: int = 11
     calibration: float = 0.2  # share of the sample that sets the selection's cut only
 
