@@ -64,7 +64,7 @@ def subwords(text: str | None, settings: Settings) -> Iterator[np.ndarray]:
         return
     codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _letters()[codes]
-    codes = np.where(letter, codes, 0).astype(np.uint64)
+    codes = np.where(letter, codes, 1).astype(np.uint64)
     for n in settings.grams:
         for a in range(0, len(codes) - n + 1, BLOCK):
             b = min(a + BLOCK, len(codes) - n + 1)
