@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from itertools import combinations
 
 from pyspark.sql import functions as F
 
@@ -161,16 +160,21 @@ def m16(spark, d):
     return ck.personal_keys(seeded).select("record_index")
 
 
-@query("m17_profile_overlaps", """WITH b AS (SELECT DISTINCT 'p' || (o_custkey % 5) AS p, l_partkey AS k FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+@query("m17_profile_overlaps", f"""WITH {o.HIST}, b AS (SELECT DISTINCT p, k FROM (SELECT profile_slug AS p, content_uri || strftime(ended, '%Y-%m-%d %H:%M:%S') AS k FROM hist
+   UNION ALL SELECT 'copy', content_uri || strftime(ended, '%Y-%m-%d %H:%M:%S') FROM hist WHERE profile_slug = 'p1' AND raw_id % 10 <> 3)),
  z AS (SELECT p, count(*) AS n FROM b GROUP BY 1) SELECT a.p AS left_profile, c.p AS right_profile, (SELECT count(*) FROM b x JOIN b y ON x.k = y.k WHERE x.p = a.p AND y.p = c.p) AS shared,
- round((SELECT count(*) FROM b x JOIN b y ON x.k = y.k WHERE x.p = a.p AND y.p = c.p) * 1.0 / least(a.n, c.n), 6) AS share FROM z a JOIN z c ON a.p < c.p""")
+ round((SELECT count(*) FROM b x JOIN b y ON x.k = y.k WHERE x.p = a.p AND y.p = c.p) * 1.0 / least(a.n, c.n), 6) AS share, a.p = 'copy' AND c.p = 'p1' AS refused FROM z a JOIN z c ON a.p = 'copy' AND c.p <> 'copy'""")
 def m17(spark, d):
-    h = w.history(spark, d).select(P, "part")
-    names = [slug for slug, _, _ in w.PROFILES]
+    """A newly loaded profile against those already there; most of its plays are another's."""
+    h = w.history(spark, d).select(P, "content_uri", "ended_at_utc", "raw_response_id")
+    new = h.filter("profile_slug = 'p1' and raw_response_id % 10 <> 3").withColumn(P, F.lit("copy"))
     pairs = small_table(
-        spark, list(combinations(names, 2)), "left_id string, right_id string"
+        spark, [("copy", slug) for slug, _, _ in w.PROFILES], "left_id string, right_id string"
+    )
+    plays = h.unionByName(new).drop("raw_response_id")
+    return ck.profile_overlaps(plays, ["ended_at_utc", "content_uri"], pairs).withColumn(
+        "share", r("share", 6)
     )
-    return ck.profile_overlaps(h, ["part"], pairs).drop("refused").withColumn("share", r("share", 6))
 
 
 @query("a11_append_guard", """SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'P' THEN ['status'] WHEN o_orderkey % 11 = 0 THEN ['ok needs a response'] END AS broken FROM orders

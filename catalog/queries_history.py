@@ -288,7 +288,7 @@ def l18(spark, d):
 
 
 @query("l19_schema_frame", """SELECT 'k' AS field, 'number|string' AS types, count(*) AS present, 0.0 AS null_rate, 'yes' AS documented, TRUE AS on_every_record FROM events
- UNION ALL SELECT 'note', 'null|string', count(*) FILTER (event_id % 4 <= 1), round(1 - count(*) FILTER (event_id % 4 = 1) * 1.0 / count(*) FILTER (event_id % 4 <= 1), 4), 'yes', FALSE FROM events
+ UNION ALL SELECT 'note', 'null|string', count(*) FILTER (event_id % 4 <= 1), round(1 - count(*) FILTER (event_id % 4 = 1) * 1.0 / count(*), 4), 'yes', FALSE FROM events
  UNION ALL SELECT 'tags', 'array', count(*), 0.0, 'no', TRUE FROM events UNION ALL SELECT 'owner', 'object', count(*), 0.0, 'no', TRUE FROM events UNION ALL SELECT 'owner.id', 'string', count(*), 0.0, 'no', TRUE FROM events
  UNION ALL SELECT 'popularity', 'ABSENT', 0, 1.0, 'yes', FALSE UNION ALL SELECT 'genres', 'ABSENT', 0, 1.0, 'yes (conditional)', FALSE""")
 def l19(spark, d):

@@ -239,7 +239,7 @@ def k6_totals(spark, d):
 
 
 @query("k7_podcast_leaderboard", f"""WITH {o.PLAYS}, b AS (SELECT profile_slug, parent_name AS "show", round(CAST(sum(ms) AS DOUBLE) / 3600000, 4) AS hours, sum(ms) AS ms,
-  count(DISTINCT content_key) AS episodes, count(*) AS play_count, round(100.0 * avg(least(1.0, CAST(ms AS DOUBLE) / duration_ms)), 3) AS mean_completion_pct FROM ex
+  count(DISTINCT content_key) AS episodes, count(*) AS play_count, round(100.0 * avg(CASE WHEN duration_ms > 0 AND ms IS NOT NULL THEN least(1.0, CAST(ms AS DOUBLE) / duration_ms) END), 3) AS mean_completion_pct FROM ex
   WHERE category = 'podcast' GROUP BY 1, 2),
  x AS (SELECT *, row_number() OVER (PARTITION BY profile_slug ORDER BY ms DESC NULLS LAST, "show") AS rank FROM b)
  SELECT profile_slug, "show", hours, episodes, play_count, mean_completion_pct, rank FROM x WHERE rank <= 15""")

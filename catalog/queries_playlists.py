@@ -183,7 +183,7 @@ def p9_words(spark, d):
     return pl.any_word_candidates(_named(spark, d), fct_membership(spark, d), "pl12 or pl34")
 
 
-_SHEET = f"""{o.MEMBERS}, {{star}}, s0 AS (SELECT *, row_number() OVER (PARTITION BY playlist_id ORDER BY position) AS order_number FROM mem WHERE snapshot_date = (SELECT max(snapshot_date) FROM mem)),
+_SHEET = f"""{o.MEMBERS}, {{star}}, s0 AS (SELECT *, row_number() OVER (PARTITION BY playlist_id ORDER BY position, {o.uri('part')}) AS order_number FROM mem WHERE snapshot_date = (SELECT max(snapshot_date) FROM mem)),
  ls AS (SELECT content_key, count(*) AS plays, sum(ms) AS ms, count(*) FILTER (qualified) AS q FROM pl WHERE profile_slug = 'p0' GROUP BY 1),
  gn AS (SELECT content_key, arg_min(genre_name, (CASE tag_type WHEN 'genre' THEN 0 ELSE 1 END, -vote_count, genre_name)) AS genre FROM bca JOIN bag USING (artist_key) WHERE is_primary GROUP BY 1)"""
 

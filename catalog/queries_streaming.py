@@ -48,17 +48,21 @@ def r2(spark, d):
 
 @query("r2_streaming_gaps", f"WITH {_POLLS} {_GAPSEL}")
 def r2_stream(spark, d):
-    """The captures landed as files and read as a stream; the gaps are read back from its sink."""
+    """The captures landed as files and read as a stream of several micro-batches, each with the
+    marks of the one before; the gaps are read back from its sink."""
     base = f"{shared_dir(spark)}/gap-stream-{uuid.uuid4().hex}"
-    w.polls(spark, d).write.parquet(f"{base}/captures")
+    polls = w.polls(spark, d)
+    for part in ("< 1", "= 1", "= 2", "> 2"):  # a file, and so a micro-batch, per stretch of every profile's polls
+        share = polls.filter(f"batch div 10 {part}")
+        share.coalesce(1).write.mode("append").parquet(f"{base}/captures")
     landed = spark.readStream.schema(
         "profile_slug string, batch bigint, oldest timestamp, newest timestamp, "
         "items_returned bigint, captured_at timestamp"
-    ).parquet(f"{base}/captures")
+    ).option("maxFilesPerTrigger", 1).parquet(f"{base}/captures")
     gp.start_gap_stream(
         landed, f"{base}/gaps", f"{base}/marks", f"{base}/checkpoint"
     ).awaitTermination()
-    return _gap_cols(spark.read.parquet(f"{base}/gaps"))
+    return _gap_cols(spark.read.parquet(f"{base}/gaps/{gp.run_of(f'{base}/checkpoint')}"))
 
 
 @query("r3_poll_status", """WITH p AS (SELECT o_orderkey AS id, 'p' || (o_custkey % 5) AS profile_slug, o_orderdate + INTERVAL 2 SECOND AS f, CASE WHEN o_orderstatus = 'F' THEN 'error' ELSE 'ok' END AS s FROM orders)
@@ -161,17 +165,19 @@ def r6(spark, d):
     return gp.api_access(used.distinct(), tokens, "2024-01-01").drop("observed_at")
 
 
-@query("r7_streaming_dedupe", f"""WITH {o.EVENTS} SELECT profile_slug, content_uri, strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS minute
- FROM (SELECT 'p' || (user_id % 5) AS profile_slug, 'media:track:t' || k AS content_uri, ts FROM ev WHERE api AND k % 13 <> 0) GROUP BY ALL""")
+@query("r7_streaming_dedupe", f"""WITH {o.EVENTS}, pg AS (SELECT *, event_id // 2000 * 100000000 + user_id AS page,
+  row_number() OVER (PARTITION BY event_id // 2000, user_id ORDER BY event_id) AS item_ordinal, max(ts) OVER (PARTITION BY event_id // 2000, user_id) + INTERVAL 1 MINUTE AS ingested FROM ev WHERE api),
+ it AS (SELECT *, 'p' || (user_id % 5) AS profile_slug, 'media:track:t' || k AS content_uri, date_trunc('minute', ts) AS minute_ FROM pg WHERE k % 13 <> 0),
+ x AS (SELECT *, row_number() OVER (PARTITION BY profile_slug, content_uri, minute_ ORDER BY ingested, page, item_ordinal) AS rn FROM it)
+ SELECT profile_slug, content_uri, strftime(minute_, '%Y-%m-%d %H:%M:%S') AS minute, strftime(ingested, '%Y-%m-%d %H:%M:%S') AS ingested_at, page AS raw_response_id, item_ordinal FROM x WHERE rn = 1""")
 def r7(spark, d):
-    """Landed pages read as a stream, staged, and deduplicated with bounded state."""
+    """Landed pages, the latest first, read as a stream of micro-batches, staged and deduplicated."""
     base = f"{shared_dir(spark)}/capture-stream-{uuid.uuid4().hex}"
-    w.captured_pages(spark, d).write.parquet(f"{base}/landed")
-    items = staging.recently_played(cp.landed_responses(spark, f"{base}/landed"))
-    kept = cp.dedupe_captures(items, "60 days").select(
-        P, "content_uri", F.date_trunc("minute", "played_at_utc").alias("minute")
+    pages = w.captured_pages(spark, d)
+    for part in (2, 0, 1):  # the same page again, and pages later than those of other profiles
+        pages.filter(f"pmod(id, 3) in ({part}, 2)").coalesce(1).write.mode("append").parquet(f"{base}/landed")
+    items = staging.recently_played(cp.landed_responses(spark, f"{base}/landed", 1))
+    cp.start_capture_dedupe(items, f"{base}/kept", f"{base}/checkpoint").awaitTermination()
+    return cp.captured_plays(spark, f"{base}/kept").select(
+        P, "content_uri", stamp("minute"), stamp("ingested_at"), "raw_response_id", "item_ordinal"
     )
-    kept.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoint").trigger(
-        availableNow=True
-    ).start(f"{base}/kept").awaitTermination()
-    return spark.read.parquet(f"{base}/kept").withColumn("minute", stamp("minute"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,16 +44,25 @@ def with_share(df: DataFrame, value: str, keys: Sequence[str], name: str, scale:
     return df.join(total, list(keys)).withColumn(name, share).drop("__total")
 
 
-def lump_rest(df: DataFrame, value: Column, keys: Sequence[str], top: int, name: str) -> DataFrame:
-    """Replace values outside each group's `top` most frequent ones by 'other'."""
+def lump_rest(
+    df: DataFrame, value: Column, keys: Sequence[str], top: int, name: str, weight: str | None = None
+) -> DataFrame:
+    """Replace values outside each group's `top` most frequent ones by 'other'.
+
+    Rows count once, or `weight` times where they are counts already. NULL is a value like any other
+    and leads if it is frequent enough; NULL keys form a group.
+    """
     labelled = df.withColumn(name, value)
-    counts = labelled.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("__n"))
-    leaders = top_per_group(counts, keys, [F.desc("__n"), F.asc(name)], top, "__rank")
-    known = leaders.select(*keys, name, F.lit(True).alias("__leads"))
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = labelled.groupBy(*keys, name).agg(n.alias("__n"))
+    leaders = top_per_group(counts, keys, [F.desc("__n"), F.asc_nulls_first(name)], top, "__rank")
+    fields = [*keys, name]
+    known = leaders.select(*[F.col(c).alias(f"__{c}") for c in fields], F.lit(True).alias("__leads"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in fields])
     return (
-        labelled.join(known, [*keys, name], "left")
+        labelled.join(known, same, "left")
         .withColumn(name, F.when(F.col("__leads"), F.col(name)).otherwise(F.lit("other")))
-        .drop("__leads")
+        .drop("__leads", *[f"__{c}" for c in fields])
     )
 
 

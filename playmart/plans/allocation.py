@@ -40,10 +40,15 @@ def _steps(depth: Column, tag_type: str) -> Column:
 
 
 def play_depth(plays: DataFrame, primary: DataFrame, with_genre: DataFrame) -> DataFrame:
-    """Each play with the number of steps it survives. `primary`: content_uri -> artist_id."""
-    rows = plays.select("profile_slug", "content_uri", "content_type", "ms_played").join(
-        primary.select("content_uri", "artist_id"), "content_uri", "left"
+    """Plays per content with the number of steps they survive. `primary`: content_uri -> artist_id.
+
+    How far a play gets hangs on its content alone, so plays collapse to one row per (profile,
+    content) with n, ms and timed before anything is joined.
+    """
+    grouped = plays.groupBy("profile_slug", "content_uri", "content_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("ms_played").alias("ms"), F.count("ms_played").alias("timed")
     )
+    rows = grouped.join(primary.select("content_uri", "artist_id"), "content_uri", "left")
     known = with_genre.select("artist_id").distinct().withColumn("has_genre", F.lit(True))
     music = F.coalesce(F.col("content_type") == "track", F.lit(False))
     identified = music & F.col("artist_id").isNotNull()
@@ -62,8 +67,7 @@ def allocation_reconciliation(
     Plays collapse to one row per (profile, depth) first; the four steps are read off that.
     """
     small = play_depth(plays, primary, with_genre).groupBy("profile_slug", "depth").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("ms_played").alias("ms"),
-        F.count("ms_played").alias("timed"),
+        F.sum("n").alias("n"), F.sum("ms").alias("ms"), F.sum("timed").alias("timed"),
     )
     steps = small.select("*", F.explode(_steps(F.col("depth"), tag_type)).alias("s"))
     kept, lost = F.col("s.kept"), F.col("s.lost")
@@ -83,9 +87,10 @@ def artist_enrichment_coverage(
 ) -> DataFrame:
     fetched = artists.filter("is_fetched").select("artist_id", F.lit(True).alias("fetched"))
     music = (
-        plays.filter("content_type = 'track'").select("profile_slug", "content_uri")
+        plays.filter("content_type = 'track'").groupBy("profile_slug", "content_uri")
+        .agg(F.count(F.lit(1)).alias("n"))
         .join(primary.select("content_uri", "artist_id"), "content_uri", "left")
-        .groupBy("profile_slug", "artist_id").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("profile_slug", "artist_id").agg(F.sum("n").alias("n"))
         .join(fetched, "artist_id", "left")
     )
     has_id, has_object = F.col("artist_id").isNotNull(), F.col("fetched").isNotNull()

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from playmart.config import CONTENT_TYPES
 from playmart.operators.ordered import keep_first
 
+
 def union_play_events(api: DataFrame, export: DataFrame) -> DataFrame:
     """Recently-played items and export records under one set of columns.
 
@@ -33,9 +35,10 @@ def dedupe_play_events(events: DataFrame) -> DataFrame:
     """One row per play.
 
     Export rows are one play per exact end; API rows one per minute; an API row whose minute an
-    export row holds is dropped whole. Within a key the earliest capture stays. Both sources are
-    narrowed by one window whose key carries the source, then the API rows left are checked against
-    the export's minutes.
+    export row holds is dropped whole. Within a key the earliest capture stays. The feed is read once.
+    Keeping one row per key limits every group before its shuffle, so endless captures of one play
+    cost one row per task; what is left, at most one API row and one export row per exact end, is
+    looked over by minute.
     """
     minute = F.date_trunc("minute", "ended_at_utc")
     from_export = F.col("source_system") == "export"
@@ -47,11 +50,12 @@ def dedupe_play_events(events: DataFrame) -> DataFrame:
         ["source_system", "profile_slug", "content_uri", "__key"],
         [F.col(c).asc_nulls_last() for c in ("ingested_at", "raw_response_id", "item_ordinal")],
     )
-    export_kept = first.filter(from_export)
-    on = ["profile_slug", "content_uri", "__minute"]
-    covered = export_kept.select(*on).distinct()
-    api_kept = first.filter(F.col("source_system") == "api").join(covered, on, "left_anti")
-    return export_kept.unionByName(api_kept).drop("__minute", "__key")
+    same_minute = Window.partitionBy("profile_slug", "content_uri", "__minute")
+    covered = F.max(from_export).over(same_minute)
+    return (
+        first.withColumn("__covered", covered).filter(from_export | ~F.col("__covered"))
+        .drop("__minute", "__key", "__covered")
+    )
 
 
 def coverage_windows(plays: DataFrame, profiles: DataFrame) -> DataFrame:

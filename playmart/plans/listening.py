@@ -157,7 +157,9 @@ def category_totals(plays: DataFrame) -> DataFrame:
 def podcast_leaderboard(plays: DataFrame, top: int = 15) -> DataFrame:
     """Shows by listening time; completion is averaged over plays of episodes of known length."""
     episodes = exported(plays).filter("category = 'podcast'")
-    done = F.least(F.lit(1.0), F.col("ms_played") / F.col("duration_ms"))
+    # `least` skips NULL, so a play of unknown length or time must be kept out by hand
+    known = (F.col("duration_ms") > 0) & F.col("ms_played").isNotNull()
+    done = F.when(known, F.least(F.lit(1.0), F.try_divide("ms_played", "duration_ms")))
     per_episode = episodes.groupBy(PROFILE, F.col("parent_name").alias("show"), "content_key").agg(
         F.count(F.lit(1)).alias("n"), F.count("ms_played").alias("timed"),
         F.sum("ms_played").alias("ms"), F.sum(done).alias("done"), F.count(done).alias("measured"),
@@ -332,12 +334,8 @@ def leaders_by_year(plays: DataFrame, top: int = 5) -> DataFrame:
 
 
 def artist_coverage_by_year(plays: DataFrame) -> DataFrame:
-    music = _music(plays)
-    table = with_coverage(music, [PROFILE, "year"])
-    share = music.groupBy(PROFILE, "year").agg(
-        _pct(F.count_if("has_artist_id"), F.count(F.lit(1))).alias("pct_plays_with_artist_id")
-    )
-    return table.join(share, [PROFILE, "year"]).select(
+    share = _pct(F.count_if("has_artist_id"), F.count(F.lit(1))).alias("pct_plays_with_artist_id")
+    return with_coverage(_music(plays), [PROFILE, "year"], share).select(
         PROFILE, "year", "hours", "play_count", "pct_rows_with_duration",
         "pct_plays_with_artist_id",
     )
@@ -402,9 +400,12 @@ def rate_series(plays: DataFrame, windows: DataFrame, count: str, name: str) ->
 def yearly_shares(plays: DataFrame, column: str, top: int = 6) -> DataFrame:
     """Share of plays per year of each of the most frequent values; the rest is `other`."""
     value = F.coalesce(column, F.lit("not recorded"))
-    lumped = lump_rest(exported(plays), value, [PROFILE], top, "value")
-    counts = lumped.groupBy(PROFILE, "year", "value").agg(F.count(F.lit(1)).alias("plays"))
-    return with_share(counts, "plays", [PROFILE, "year"], "share")
+    counts = exported(plays).groupBy(PROFILE, "year", value.alias("value")).agg(
+        F.count(F.lit(1)).alias("plays")
+    )
+    lumped = lump_rest(counts, F.col("value"), [PROFILE], top, "value", weight="plays")
+    table = lumped.groupBy(PROFILE, "year", "value").agg(F.sum("plays").alias("plays"))
+    return with_share(table, "plays", [PROFILE, "year"], "share")
 
 
 def most_offline_months(plays: DataFrame, windows: DataFrame, top: int = 10) -> DataFrame:
@@ -428,10 +429,10 @@ def country_table(plays: DataFrame) -> DataFrame:
     named = exported(plays).withColumn(
         "country", F.coalesce("conn_country", F.lit("not recorded"))
     )
-    spans = named.groupBy(PROFILE, "country").agg(
-        F.min("full_date").alias("first_play"), F.max("full_date").alias("last_play")
+    return with_coverage(
+        named, [PROFILE, "country"],
+        F.min("full_date").alias("first_play"), F.max("full_date").alias("last_play"),
     )
-    return with_coverage(named, [PROFILE, "country"]).join(spans, [PROFILE, "country"])
 
 
 def months_away(plays: DataFrame, windows: DataFrame) -> DataFrame:

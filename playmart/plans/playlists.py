@@ -328,10 +328,14 @@ def listening_of(plays: DataFrame) -> DataFrame:
 def playlist_sheet(
     members: DataFrame, content: DataFrame, details: DataFrame, albums: DataFrame,
     own_content: DataFrame, listening: DataFrame, genre: DataFrame,
-    number_by: Sequence[str] = ("position",), playlist: Sequence[str] = (),
+    number_by: Sequence[str] = ("position", "content_uri"), playlist: Sequence[str] = (),
     annotations: Sequence[str] = ANNOTATIONS,
 ) -> DataFrame:
-    """One row per member of one playlist (or of each, when `playlist` names its columns)."""
+    """One row per member of one playlist (or of each, when `playlist` names its columns).
+
+    `number_by` must order the members of a playlist without ties: positions repeat where snapshots
+    overlap, so the content's uri comes second.
+    """
     c = content.select(
         "content_key", F.col("content_name").alias("c_name"),
         F.col("primary_creator_name").alias("c_creator"), F.col("duration_ms").alias("c_ms"),

@@ -232,8 +232,9 @@ def schema_frame(records: DataFrame, documented: Sequence[str], payload: str = "
                  conditional: Sequence[str] = ()) -> DataFrame:
     """Presence, null rate and types per field and sub-field, beside what the documentation promises.
 
-    A documented field no record carries is a row of its own, typed ABSENT; a sub-field is
-    documented when its parent is.
+    The null rate is over all records: a field that half of them lack is null there. A documented
+    field no record carries is a row of its own, typed ABSENT; a sub-field is documented when its
+    parent is.
     """
     total = records.agg(F.count(F.lit(1))).scalar()
     seen = payload_key_schema(records, payload, nested=True).select(
@@ -248,7 +249,7 @@ def schema_frame(records: DataFrame, documented: Sequence[str], payload: str = "
     return joined.select(
         F.coalesce("field", "name").alias("field"), F.coalesce("types", F.lit("ABSENT")).alias("types"),
         F.coalesce("present", F.lit(0)).alias("present"),
-        F.round(1 - F.coalesce(F.col("non_null") / F.col("present"), F.lit(0.0)), 4).alias("null_rate"),
+        F.round(1 - F.coalesce("non_null", F.lit(0)) / F.nullif(F.lit(total), F.lit(0)), 4).alias("null_rate"),
         F.when(F.col("types").isNull() & F.col("conditional"), "yes (conditional)")
         .when(F.col("conditional").isNotNull(), "yes").otherwise("no").alias("documented"),
         (F.coalesce("present", F.lit(0)) == total).alias("on_every_record"),

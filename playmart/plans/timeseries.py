@@ -91,8 +91,9 @@ def _derived(df: DataFrame) -> DataFrame:
     )
 
 
-def with_coverage(plays: DataFrame, by: Sequence[str | Column]) -> DataFrame:
-    return _derived(plays.groupBy(*by).agg(*coverage_measures()))
+def with_coverage(plays: DataFrame, by: Sequence[str | Column], *more: Column) -> DataFrame:
+    """Coverage measures per group; `more` aggregates ride in the same grouping."""
+    return _derived(plays.groupBy(*by).agg(*coverage_measures(), *more))
 
 
 def clip_to_window(

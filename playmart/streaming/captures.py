@@ -4,24 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from playmart.operators.ordered import keep_first
 from playmart.sources import schemas
 
+KEY = ["profile_slug", "content_uri", "minute"]
+ORDER = ("ingested_at", "raw_response_id", "item_ordinal")
 
-def landed_responses(spark: SparkSession, path: str) -> DataFrame:
+
+def landed_responses(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """Landed captures as a stream of raw rows; each new file is a new micro-batch's input."""
-    return spark.readStream.schema(schemas.RAW_RESPONSE).parquet(path)
+    reader = spark.readStream.schema(schemas.RAW_RESPONSE)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
+
 
+def _earliest(items: DataFrame) -> DataFrame:
+    return keep_first(items, KEY, [F.col(c).asc_nulls_last() for c in ORDER])
 
-def dedupe_captures(items: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """One captured play per (profile, content, minute) as captures stream in.
 
-    Polls overlap, so the same play comes again within hours; state for a key is kept for the
-    lateness only. Exports arrive months late: they are merged in batch, where they win.
+def start_capture_dedupe(items: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Captured plays as they stream in, with no bound on how late a play may come.
+
+    Polls overlap, so the same play comes again. A micro-batch writes, under its own number, its
+    plays that no earlier batch holds with the same or an earlier capture; repeated after a failure
+    it overwrites what it wrote. Stored plays are compared for the batch's days only (statistics of
+    the files skip the rest). No state is kept between batches, so nothing expires.
+    `captured_plays` reads the result.
     """
-    timed = items.withColumn("__minute", F.date_trunc("minute", "played_at_utc"))
+
+    def step(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        minute = F.date_trunc("minute", "played_at_utc")
+        rows = _earliest(batch.withColumn("minute", minute)).withColumn("day", F.to_date("minute")).persist()
+        fresh = rows
+        span = rows.agg(F.min("day").alias("a"), F.max("day").alias("b")).first()
+        if number and span["a"] is not None:
+            before = spark.read.schema(rows.schema).parquet(
+                *[f"{path}/batch={n}" for n in range(number)]
+            ).filter(F.col("day").between(F.lit(span["a"]), F.lit(span["b"])))
+            capture = F.struct(*ORDER)
+            known = before.groupBy(*KEY).agg(F.min(capture).alias("__first"))
+            fresh = rows.join(known, KEY, "left").filter(
+                F.col("__first").isNull() | (capture < F.col("__first"))
+            ).drop("__first")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        rows.unpersist()
+
     return (
-        timed.withWatermark("played_at_utc", lateness)
-        .dropDuplicatesWithinWatermark(["profile_slug", "content_uri", "__minute"])
-        .drop("__minute")
+        items.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
+
+
+def captured_plays(spark: SparkSession, path: str) -> DataFrame:
+    """One row per (profile, content, minute): the earliest capture over all batches."""
+    return _earliest(spark.read.parquet(path).drop("batch"))

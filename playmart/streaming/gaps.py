@@ -5,8 +5,9 @@ A capture frame has one row per poll: profile_slug, captured_at, oldest, newest,
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -88,11 +89,9 @@ def api_access(registry: DataFrame, tokens: DataFrame, observed_at: str) -> Data
     )
 
 
-def _marks_of(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(MARKS).parquet(path)
-    except AnalysisException:
-        return small_table(spark, [], MARKS)
+def run_of(checkpoint: str) -> str:
+    """The name under which a checkpoint's stream keeps what it writes."""
+    return "run=" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]  # noqa: S324 - a name, no secret
 
 
 def start_gap_stream(
@@ -101,18 +100,24 @@ def start_gap_stream(
     """Gaps of a capture stream, written per micro-batch.
 
     A batch reads the marks its predecessor left and writes its own gaps and marks under its own
-    number, so a batch repeated after a failure overwrites exactly what it wrote before.
+    number, so a batch repeated after a failure overwrites exactly what it wrote before. Only the
+    first batch of a checkpoint has no predecessor: marks that are missing later are an error. A new
+    checkpoint reads everything again and writes beside the old results, under `run_of(checkpoint)`.
     """
+    run = run_of(checkpoint)
 
     def step(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         rows = batch.persist()
-        marks = _marks_of(spark, f"{marks_path}/batch={number - 1}")
-        detect_gaps(rows, marks).write.mode("overwrite").parquet(f"{gaps_path}/batch={number}")
+        marks = (
+            spark.read.schema(MARKS).parquet(f"{marks_path}/{run}/batch={number - 1}")
+            if number else small_table(spark, [], MARKS)
+        )
+        detect_gaps(rows, marks).write.mode("overwrite").parquet(f"{gaps_path}/{run}/batch={number}")
         merged = marks.unionByName(high_water_mark(rows)).groupBy(PROFILE).agg(
             F.max("high_water_mark").alias("high_water_mark")
         )
-        merged.write.mode("overwrite").parquet(f"{marks_path}/batch={number}")
+        merged.write.mode("overwrite").parquet(f"{marks_path}/{run}/batch={number}")
         rows.unpersist()
 
     return (

@@ -57,6 +57,12 @@ def test_schema_frame_reports_absent_fields(rows):
     assert shape["$.o.k[]"] == "number|object" and shape["$.o.k[].deep"] == "boolean"
 
 
+def test_null_rate_is_over_all_records(rows):
+    docs = rows([('{"a":1,"b":2}',), ('{"a":1}',), ('{"a":null,"b":null}',), ('{"a":1}',)], "payload string")
+    got = {r["field"]: r["null_rate"] for r in pr.schema_frame(docs, ["a", "b"]).collect()}
+    assert got == {"a": 0.25, "b": 0.75}
+
+
 def test_shape_has_no_depth_limit(rows):
     deep = '{"a":' * 7 + '"}]{"' + "}" * 7
     paths = [r["path"] for r in pr.describe_shape(rows([(deep,)], "payload string")).collect()]

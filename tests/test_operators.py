@@ -105,6 +105,12 @@ def test_shares_and_lumping(rows):
     assert {r["top"]: r["count"] for r in lumped} == {"a": 3, "b": 2, "other": 1}
 
 
+def test_lumping_keeps_null_and_takes_counts(rows):
+    counts = rows([(None, "x", 5), (None, None, 9), ("g", None, 1), ("g", "a", 4), ("g", "b", 3)], "g string, v string, n int")
+    lumped = lump_rest(counts, F.col("v"), ["g"], 1, "top", weight="n").groupBy("g", "top").agg(F.sum("n")).collect()
+    assert sorted(map(repr, ((r[0], r[1], r[2]) for r in lumped))) == sorted(map(repr, [(None, None, 9), (None, "other", 5), ("g", "a", 4), ("g", "other", 4)]))
+
+
 def test_key_sets(rows):
     left, right = rows([(1,), (2,), (2,), (3,)], "k int"), rows([(2,)], "k int")
     assert sorted(r["k"] for r in missing_keys(left, right, ["k"]).collect()) == [1, 3]

@@ -57,13 +57,40 @@ def test_status(rows):
     assert got["idle"]["polls_24h"] == 0 and got["idle"]["last_poll_at"] is None
 
 
-def test_streaming_dedupe_keeps_one_per_minute(spark, rows, tmp_path):
-    schema = "profile_slug string, content_uri string, played_at_utc timestamp"
-    rows([("p", "a", DAY + "10:00:01"), ("p", "a", DAY + "10:00:40"), ("p", "a", DAY + "10:01:00"), ("p", "b", DAY + "10:00:01")],
-         schema).write.parquet(str(tmp_path / "in"))
-    kept = cp.dedupe_captures(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
-    kept.writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+ITEM = ("profile_slug string, content_uri string, played_at_utc timestamp, ingested_at timestamp, "
+        "raw_response_id bigint, item_ordinal int")
+
+
+def test_streaming_dedupe_has_no_lateness(spark, rows, tmp_path):
+    """Later batches bring a play of long ago, an earlier capture of a known play, and repeats."""
+    old = "2020-05-05 "
+    batches = [
+        [("p", "a", DAY + "10:00:01", DAY + "11:00:00", 1, 1), ("p", "a", DAY + "10:00:40", DAY + "11:00:00", 1, 2),
+         ("p", "a", DAY + "10:01:00", DAY + "11:00:00", 1, 3), ("p", "b", DAY + "10:00:01", DAY + "11:00:00", 1, 4)],
+        [("q", "a", old + "10:00:01", DAY + "12:00:00", 2, 1), ("p", "a", DAY + "10:00:59", DAY + "10:30:00", 3, 1)],
+        [("p", "b", DAY + "10:00:01", DAY + "13:00:00", 4, 1), ("q", "a", old + "10:00:30", DAY + "13:00:00", 4, 2)],
+    ]
+    for batch in batches:
+        rows(batch, ITEM).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(ITEM).parquet(str(tmp_path / "in"))
+        cp.start_capture_dedupe(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+        time.sleep(0.1)
+    kept = cp.captured_plays(spark, str(tmp_path / "out")).collect()
+    assert sorted((r["profile_slug"], r["content_uri"], f"{r['played_at_utc']:%Y %H:%M:%S}", r["raw_response_id"]) for r in kept) == [
+        ("p", "a", "2024 10:00:59", 3), ("p", "a", "2024 10:01:00", 1), ("p", "b", "2024 10:00:01", 1), ("q", "a", "2020 10:00:01", 2)]
+    assert spark.read.parquet(str(tmp_path / "out" / "batch=2")).count() == 0
+
+
+def test_gap_stream_fails_when_marks_are_lost(spark, rows, tmp_path):
+    for at in ("07:30:00", "09:30:00"):
+        rows([page(at, "06:00:00", "07:00:00")], CAPTURE).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(CAPTURE).parquet(str(tmp_path / "in"))
+        query = gp.start_gap_stream(stream, f"{tmp_path}/g", f"{tmp_path}/m{at[:2]}", f"{tmp_path}/c")
+        if at == "07:30:00":
+            query.awaitTermination()
+        else:
+            with pytest.raises(Exception, match="PATH_NOT_FOUND|Path does not exist"):
+                query.awaitTermination()
 
 
 def test_order_and_coverage(rows):

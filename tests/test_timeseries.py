@@ -131,3 +131,14 @@ def test_every_report_survives_no_data(spark):
         li.hour_profile, li.category_totals, li.yearly_category_share,
     ):
         assert report(plays).count() == 0, report.__name__
+
+
+def test_completion_leaves_out_unknown_and_zero_lengths(rows):
+    plays = rows(
+        [("p", "export", "podcast", "s", 1, 30, 60), ("p", "export", "podcast", "s", 2, 30, None),
+         ("p", "export", "podcast", "s", 3, 30, 0), ("p", "export", "podcast", "s", 4, None, 60)],
+        "profile_slug string, source_system string, category string, parent_name string, content_key int, "
+        "ms_played bigint, duration_ms bigint",
+    )
+    got = li.podcast_leaderboard(plays).first()
+    assert got["mean_completion_pct"] == 50 and got["episodes"] == 4
