@@ -14,7 +14,7 @@ from playmart.operators.ordered import (
 )
 from playmart.operators.versions import overlapping_versions, version_starts, with_epoch
 from playmart.plans import star
-from playmart.plans.events import coverage_windows, dedupe_play_events
+from playmart.plans.events import coverage_windows, dedupe_play_events, union_play_events
 from playmart.plans.timeseries import with_coverage
 from playmart.sources import staging
 
@@ -43,7 +43,15 @@ def monthly_coverage(spark, d):
 @query("g1_union_play_events", f"""WITH {o.EVENTS} SELECT source_system, profile_slug, content_type, count(*) AS n,
  count(ms) AS timed, CAST(sum(ms) AS BIGINT) AS ms, CAST(sum(raw_id) AS BIGINT) AS ids FROM ep GROUP BY ALL""")
 def g1(spark, d):
-    return w.event_plays(spark, d).groupBy("source_system", "profile_slug", "content_type").agg(
+    """The two sources with their own columns; export records of a type nobody knows drop out."""
+    plays = w.event_plays(spark, d)
+    api = plays.filter("source_system = 'api'").withColumnRenamed("ended_at_utc", "played_at_utc")
+    export = plays.filter("source_system = 'export'").withColumnsRenamed(
+        {"raw_response_id": "raw_record_id", "item_ordinal": "record_index"}
+    )
+    odd = export.withColumn("content_type", F.when(F.col("raw_record_id") % 2 == 0, F.lit("video")))
+    both = union_play_events(api, export.unionByName(odd))
+    return both.groupBy("source_system", "profile_slug", "content_type").agg(
         F.count(F.lit(1)).alias("n"), F.count("ms_played").alias("timed"),
         F.sum("ms_played").alias("ms"), F.sum("raw_response_id").alias("ids"),
     )

@@ -13,6 +13,7 @@ from playmart.functions.text import (
     content_match_key, duration_text, endpoint_template, fold_text, is_mbid, normalise_name,
     normalize_isrc, platform_family, track_id_from_uri,
 )
+from playmart.operators.ordered import keep_first
 from playmart.plans import content, history_profile as hp, profiling as pr, star
 from playmart.sources import staging
 
@@ -523,6 +524,26 @@ def g14(spark, d):
     return w.tracks(spark, d).select("content_uri", "content_name", "content_match_key", "album_id")
 
 
+@query("g14_tracks_latest_both_feeds", f"""WITH {o.EVENTS}, p AS (SELECT k, min(ts) AS f, max(ts) AS l FROM ev WHERE api AND k % 13 <> 0 GROUP BY 1)
+ SELECT 'media:track:t' || k AS content_uri, CASE WHEN k % 3 = 0 THEN 'Looked up ' ELSE 'Title ' END || k AS content_name,
+  strftime(f, '%Y-%m-%d %H:%M:%S') AS first_seen_at, strftime(l, '%Y-%m-%d %H:%M:%S') AS last_seen_at FROM p
+ UNION ALL SELECT 'media:track:never' || k, 'Looked up ' || k, NULL, NULL FROM p WHERE k % 3 = 0""")
+def g14_both(spark, d):
+    """Captured plays and lookups: one newer than all plays, one older, one of a track never played."""
+    plays = staging.recently_played(w.captured_pages(spark, d))
+    k = F.substring("content_uri", 14, 20).cast("int")
+    one = keep_first(plays, ["content_uri"], [F.asc("raw_response_id"), F.asc("item_ordinal")]).drop(
+        "played_at_utc"
+    ).withColumn("content_name", F.concat(F.lit("Looked up "), w.text(k)))
+    lookups = one.withColumn(
+        "ingested_at", F.when(k % 3 == 0, F.to_timestamp(F.lit("2100-01-01"))).otherwise(F.to_timestamp(F.lit("1900-01-01")))
+    )
+    never = one.filter(k % 3 == 0).withColumn("content_uri", F.concat(F.lit("media:track:never"), w.text(k)))
+    return content.tracks_latest(plays, lookups.unionByName(never)).select(
+        "content_uri", "content_name", stamp("first_seen_at"), stamp("last_seen_at")
+    )
+
+
 _DC = f"""{o.HIST}, {o.CATALOGUE}, seen AS (SELECT content_uri, min(ended) AS f, max(ended) AS l FROM hist GROUP BY 1),
 dc AS (SELECT row_number() OVER (ORDER BY f ASC NULLS LAST, content_uri) AS content_key, * FROM (
  SELECT c.content_uri, c.content_type, is_resolved AND part % 10 > 1 AS is_resolved, f, l,
@@ -533,8 +554,8 @@ dc AS (SELECT row_number() OVER (ORDER BY f ASC NULLS LAST, content_uri) AS cont
  WHERE (is_resolved AND part % 10 > 1) OR part % 2 = 0))"""
 
 
-def _dim_content(spark, d):
-    """Resolved tracks from lookups; even parts are also known from the export."""
+def _dim_content(spark, d, items=None):
+    """Resolved tracks from lookups; even parts are also known from the export; `items` of playlists."""
     known = w.catalogue(spark, d).filter("(content_key - 1) % 2 = 0").select(
         "content_uri", "content_type", F.col("content_name").alias("track_name"),
         F.col("primary_creator_name").alias("album_artist_name"), F.col("parent_name").alias("album_name"),
@@ -542,9 +563,10 @@ def _dim_content(spark, d):
         *[F.lit(None).cast("string").alias(c) for c in
           ("episode_name", "audiobook_chapter_title", "episode_show_name", "audiobook_title")],
     )
-    none = _item_rows(spark, d).filter(F.lit(False))
+    if items is None:
+        items = _item_rows(spark, d).filter(F.lit(False))
     return star.dim_content(
-        w.tracks(spark, d), content.export_content(known), content.playlist_content(none),
+        w.tracks(spark, d), content.export_content(known), content.playlist_content(items),
         w.history(spark, d),
     )
 
@@ -558,6 +580,22 @@ def g15(spark, d):
     )
 
 
+@query("g15_dim_content_three_sources", f"""WITH {o.CATALOGUE}, {o.MEMBERS}, own AS (SELECT DISTINCT part AS p FROM mem), src AS (
+  SELECT cat.*, is_resolved AND part % 10 > 1 AS api, part % 2 = 0 AS exported, p IS NOT NULL AS listed FROM cat LEFT JOIN own ON p = part)
+ SELECT content_uri, api AS is_resolved, CASE WHEN api AND part % 4 = 0 THEN content_name || ' (Live)' WHEN api OR exported THEN content_name ELSE 'Listed ' || content_name END AS content_name,
+  CASE WHEN api THEN 'Artist ' || bn WHEN exported THEN creator ELSE 'Owner of the list' END AS primary_creator_name,
+  CASE WHEN api THEN p_size * 10000 WHEN NOT exported THEN 1000 END AS duration_ms FROM src WHERE api OR exported OR listed
+ UNION ALL SELECT '(absent)', FALSE, 'Unknown content', NULL, NULL UNION ALL SELECT '(pending)', FALSE, 'Pending resolution', NULL, NULL""")
+def g15_three(spark, d):
+    """A playlist's own description counts only where neither of the better sources has the uri."""
+    items = _item_rows(spark, d).withColumns(
+        {"content_name": F.concat(F.lit("Listed "), "content_name"), "primary_creator_name": F.lit("Owner of the list")}
+    )
+    return _dim_content(spark, d, items).select(
+        "content_uri", "is_resolved", "content_name", "primary_creator_name", "duration_ms"
+    )
+
+
 def _dim_album(spark, d):
     return star.dim_album(content.albums_latest(
         w.stg_no_plays(spark, d), staging.track(w.raw_tracks(spark, d))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import oracle as o
@@ -13,6 +15,7 @@ from playmart.config import ExtractOptions
 from playmart.plans import playlists as pl
 from playmart.plans import publish as pb
 from playmart.plans import star
+from playmart.session import shared_dir
 
 P = "profile_slug"
 
@@ -220,12 +223,12 @@ def p10(spark, d):
     )
 
 
-@query("p11_sheet_coverage", f"""WITH {_SHEET.format(star=ALL)}, x AS (SELECT s0.*, genre FROM s0 JOIN cat USING (part) LEFT JOIN gn USING (content_key)) SELECT 'genre' AS "column", count(genre) AS populated, count(*) AS "of" FROM x
- UNION ALL SELECT 'song', count(title), count(*) FROM x UNION ALL SELECT 'duration', count(*) FILTER (duration_ms IS NOT NULL OR cat.content_key % 2 = 0), count(*) FROM s0 JOIN cat USING (part)""")
+@query("p11_sheet_coverage", f"""WITH {_SHEET.format(star=ALL)}, x AS (SELECT s0.*, genre FROM s0 JOIN cat USING (part) LEFT JOIN gn USING (content_key)), y AS (SELECT 'genre' AS "column", count(genre) AS populated, count(*) AS "of" FROM x
+ UNION ALL SELECT 'song', count(title), count(*) FROM x UNION ALL SELECT 'duration', count(*) FILTER (duration_ms IS NOT NULL OR cat.content_key % 2 = 0), count(*) FROM s0 JOIN cat USING (part)) SELECT *, round(100.0 * populated / "of", 0) AS pct FROM y""")
 def p11(spark, d):
     return pl.sheet_coverage(sheet(spark, d)).filter(
         F.col("column").isin("genre", "song", "duration")
-    ).drop("pct")
+    )
 
 
 # --- extracts -------------------------------------------------------------------------------------
@@ -321,6 +324,43 @@ def q7(spark, d):
     return pb.extract_summary(extracts).select("extract", "rows", day("first_date"), day("last_date"))
 
 
+def _extracts(spark, d):
+    """The four tables that are published."""
+    own, weights = daily(spark, d), (w.br_artist_genre(spark, d), w.bucket_map(spark, d), OPTS)
+    return {
+        "plays_daily": own, "artists": pb.artists(published(spark, d), w.dim_artist(spark, d)),
+        "genres": pb.genres(own),
+        "coverage": pb.coverage(steps(spark, d), pb.published_steps(published(spark, d), *weights)),
+    }
+
+
+@query("a7_write_extracts", f"""WITH {_PUB}, {_GEN}, {_STEPS} SELECT 'plays_daily' AS extract, count(*) AS rows, CAST(min(full_date) AS VARCHAR) AS first_date, CAST(max(full_date) AS VARCHAR) AS last_date FROM (SELECT DISTINCT profile_slug, full_date, content_type, bucket_name FROM pd)
+ UNION ALL SELECT 'genres', count(*), CAST(min(month_start) AS VARCHAR), CAST(max(month_start) AS VARCHAR) FROM ge
+ UNION ALL SELECT 'artists', count(*), min(yr) || '-01-01', max(yr) || '-12-31' FROM (SELECT DISTINCT profile_slug, yr, artist_key FROM pu WHERE content_type = 'track')
+ UNION ALL SELECT 'coverage', count(*), NULL, NULL FROM rec LEFT JOIN pst USING (profile_slug, step_number)""")
+def a7(spark, d):
+    """Written as files, and summarised from what the files hold."""
+    out = pb.write_extracts(_extracts(spark, d), f"{shared_dir(spark)}/extracts-{uuid.uuid4().hex}")
+    return out.select("extract", "rows", day("first_date"), day("last_date"))
+
+
+_PUBLISHED = {
+    "plays_daily": "profile_slug play_date content_type bucket_name plays qualified_plays ms_played rows_with_duration allocated_plays allocated_ms",
+    "genres": "profile_slug month_start bucket_name allocated_plays allocated_ms share_of_music_ms",
+    "artists": "profile_slug year artist_name is_identified plays qualified_plays hours rows_with_duration",
+}
+
+
+@query("q7_manifest_columns", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{name}.csv', '{c}', 'yes')" for name, columns in _PUBLISHED.items() for c in columns.split()
+) + """) v(file, "column", included) WHERE EXISTS (SELECT 1 FROM lineitem) UNION ALL SELECT '(all)', x, 'NO' FROM (VALUES ('platform (raw)'), ('incognito plays'), ('conn_country'),
+ ('artist_id / content_uri'), ('profile_slug (other people)'), ('display_name / user_id / email')) e(x)""")
+def q7_columns(spark, d):
+    """What every published column is and where it comes from; none is left without a source."""
+    found = pb.manifest(spark, {k: v for k, v in _extracts(spark, d).items() if k != "coverage"})
+    return found.filter((F.col("source") != "") & (F.col("source") != pb.DERIVED)).select("file", "column", "included")
+
+
 @query("c8_incognito_anti_join", f"""WITH {_PUB} SELECT profile_slug, count(*) AS published FROM pu GROUP BY 1""")
 def c8(spark, d):
     return published(spark, d).groupBy(P).agg(F.count(F.lit(1)).alias("published"))

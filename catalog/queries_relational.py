@@ -455,20 +455,6 @@ def a4(spark, d):
     return read_seed(spark, path, GENRE_BUCKET_MAP)
 
 
-@query("a7_write_extracts", "SELECT 'brands' AS extract, count(DISTINCT p_brand) AS rows, 2 AS columns FROM part UNION ALL SELECT 'years', count(DISTINCT year(o_orderdate)), 2 FROM orders")
-def a7(spark, d):
-    from playmart.plans.publish import write_extracts
-    from playmart.session import shared_dir
-    import uuid
-
-    extracts = {
-        "brands": t(spark, d, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")),
-        "years": t(spark, d, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(F.count(F.lit(1)).alias("n")),
-    }
-    out = write_extracts(extracts, f"{shared_dir(spark)}/extracts-{uuid.uuid4().hex}")
-    return out.select("extract", "rows", "columns")
-
-
 @query("keep_first_vs_distinct_on", "SELECT DISTINCT ON (l_partkey) l_partkey, l_orderkey, l_linenumber FROM lineitem ORDER BY l_partkey, l_shipdate DESC, l_orderkey, l_linenumber")
 def keep_first_q(spark, d):
     return keep_first(

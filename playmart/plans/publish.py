@@ -12,6 +12,34 @@ from playmart.plans.timeseries import PROFILE
 from playmart.session import small_table
 from playmart.sources.writers import write_extract
 
+# Where a published column comes from, and what its reader must know.
+SOURCES = {
+    "profile_slug": "dim_profile", "play_date": "dim_date by fct_play_event.date_key",
+    "month_start": "dim_date by fct_play_event.date_key", "year": "dim_date by fct_play_event.date_key",
+    "content_type": "dim_content", "bucket_name": "genre bucket map", "artist_name": "dim_artist",
+    "is_identified": "br_content_artist", "plays": "fct_play_event", "qualified_plays": "fct_play_event",
+    "ms_played": "fct_play_event", "hours": "fct_play_event", "rows_with_duration": "fct_play_event",
+    "allocated_plays": "fct_play_event by br_artist_genre", "allocated_ms": "fct_play_event by br_artist_genre",
+    "share_of_music_ms": "allocated time", "step_number": "allocation steps", "step_name": "allocation steps",
+    "play_count": "allocation steps", "platform_family": "fct_play_event.platform",
+    "conn_country": "fct_play_event",
+}
+NOTES = {
+    "ms_played": "captured plays have no duration; it is never imputed",
+    "hours": "of rows with a duration",
+    "rows_with_duration": "rows behind ms_played",
+    "allocated_plays": "a play is split over its artist's buckets; add these up, not plays",
+    "allocated_ms": "a play is split over its artist's buckets; add these up, not ms_played",
+    "share_of_music_ms": "within profile and month",
+    "artist_name": "(unidentified) where no artist is known",
+    "bucket_name": "unclassified where the artist has no genre",
+    "play_date": "in the profile's own time zone",
+    "month_start": "in the profile's own time zone",
+    "platform_family": "the family only, never the device",
+    "conn_country": "off unless asked for",
+}
+DERIVED = "computed for the extract"
+
 EXCLUDED = (
     ("platform (raw)", "fct_play_event", "names a device model; only its family may be published"),
     ("incognito plays", "export records", "marked private by the listener"),
@@ -189,7 +217,12 @@ def write_extracts(extracts: dict[str, DataFrame], folder: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, extracts: dict[str, DataFrame]) -> DataFrame:
-    """Every column of every extract, and every field left out with the reason."""
-    rows = [(f"{name}.csv", c, "yes", "") for name, df in extracts.items() for c in df.columns]
-    rows += [("(all)", name, "NO", f"{source}: {why}") for name, source, why in EXCLUDED]
-    return small_table(spark, rows, "file string, column string, included string, note string")
+    """Every column of every extract with its source, and every field left out with the reason."""
+    rows = [
+        (f"{name}.csv", c, "yes", SOURCES.get(c, DERIVED), NOTES.get(c, ""))
+        for name, df in extracts.items() for c in df.columns
+    ]
+    rows += [("(all)", name, "NO", source, why) for name, source, why in EXCLUDED]
+    return small_table(
+        spark, rows, "file string, column string, included string, source string, note string"
+    )
