@@ -224,6 +224,35 @@ def a9(spark, d):
     )
 
 
+@query("a9_scrub_raw_json", """SELECT 'pl' || s_suppkey AS id, NULL AS private, 'user' AS owner_type, s_suppkey % 7 AS unknown_key, 'kept' AS unknown_below, '2001-01-01' AS added_at, 'DE' AS country FROM supplier""")
+def a9_raw(spark, d):
+    """Raw payloads of three feeds: the private paths go, keys nobody declared stay."""
+    from playmart.sources.scrub import scrub_json
+
+    s = F.col("s_suppkey")
+    owner = F.struct(
+        *[F.lit("x").alias(k) for k in ("id", "display_name", "uri", "href", "external_urls")],
+        F.lit("user").alias("type"), F.struct(F.lit("kept").alias("deep")).alias("new"),
+    )
+    item = F.struct(F.concat(F.lit("pl"), w.text(s)).alias("id"), owner.alias("owner"),
+                    F.array(F.lit("http://image")).alias("images"), (s % 7).alias("surprise"))
+    added = F.struct(F.lit("2001-01-01").alias("added_at"), F.struct(F.lit("x").alias("id")).alias("added_by"))
+    raw = table(spark, d, "supplier").select(
+        scrub_json(F.to_json(F.struct(F.array(item).alias("items"))), "playlist").alias("lists"),
+        scrub_json(F.to_json(F.struct(F.array(added).alias("items"))), "playlist_item").alias("items"),
+        scrub_json(F.to_json(F.struct(F.lit("me@x").alias("email"), F.lit("DE").alias("country"))), "me").alias("me"),
+    )
+    at = lambda c, path: F.get_json_object(c, path)
+    private = [at("lists", f"$.items[0].owner.{k}") for k in ("id", "display_name", "uri", "href", "external_urls")]
+    return raw.select(
+        at("lists", "$.items[0].id").alias("id"),
+        F.coalesce(*private, at("lists", "$.items[0].images"), at("items", "$.items[0].added_by"), at("me", "$.email")).alias("private"),
+        at("lists", "$.items[0].owner.type").alias("owner_type"), at("lists", "$.items[0].surprise").cast("bigint").alias("unknown_key"),
+        at("lists", "$.items[0].owner.new.deep").alias("unknown_below"), at("items", "$.items[0].added_at").alias("added_at"),
+        at("me", "$.country").alias("country"),
+    )
+
+
 @query("a13_backfill_feed", """SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'me' WHEN o_orderkey % 3 = 1 THEN 'track' ELSE 'playlist' END AS feed, count(*) AS rows FROM orders GROUP BY 1""")
 def a13(spark, d):
     n = F.col("o_orderkey") % 3

@@ -78,13 +78,12 @@ def l5(spark, d):
     return hp.records_per_month(_only_export(spark, d)).select(P, day("month"), "records", r("hours"))
 
 
-@query("l5_month_extremes", f"""WITH {o.HIST}, m AS (SELECT profile_slug, CAST(date_trunc('month', ended) AS DATE) AS month, count(*) AS n FROM hist WHERE source_system = 'export' AND month(ended) <> 7 GROUP BY 1, 2),
+@query("l5_month_extremes", f"""WITH {o.HIST}, m AS (SELECT profile_slug, CAST(date_trunc('month', ended) AS DATE) AS month, count(*) AS n FROM hist WHERE source_system = 'export' GROUP BY 1, 2),
  k AS (SELECT *, row_number() OVER (PARTITION BY profile_slug ORDER BY n DESC, month) AS up, row_number() OVER (PARTITION BY profile_slug ORDER BY n, month) AS dn FROM m)
  SELECT profile_slug, count(*) AS months, CAST(max(month) FILTER (up = 1) AS VARCHAR) AS densest, CAST(max(month) FILTER (dn = 1) AS VARCHAR) AS thinnest,
  date_diff('month', min(month), max(month)) + 1 - count(*) AS missing_months FROM k GROUP BY 1""")
 def l5_extremes(spark, d):
-    rows = _only_export(spark, d).filter(F.month("ended_at_utc") != 7)
-    return hp.month_extremes(hp.records_per_month(rows)).select(
+    return hp.month_extremes(hp.records_per_month(_only_export(spark, d))).select(
         P, "months", day("densest"), day("thinnest"), "missing_months"
     )
 
@@ -246,17 +245,21 @@ def l15_behaviour(spark, d):
 
 # --- tables and payloads --------------------------------------------------------------------------
 
-_CUST = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+_LEAST = "min(CAST(b AS VARCHAR))"
+_CUST = {
+    "c_custkey": ("bigint", _LEAST), "c_name": ("string", _LEAST), "c_nationkey": ("int", _LEAST),
+    "c_acctbal": ("double", _LEAST), "c_mktsegment": ("string", _LEAST),
+}
 
 
 @query("l16_column_schema", " UNION ALL ".join(
-    f"SELECT '{c}' AS field, count(b) AS non_null, count(*) AS total, round(1 - count(b) * 1.0 / count(*), 4) AS null_rate FROM (SELECT CASE WHEN c_custkey % {n} <> 0 THEN {c} END AS b FROM customer)"
-    for n, c in enumerate(_CUST, start=2)))
+    f"SELECT '{c}' AS field, '{kind}' AS type, count(b) AS non_null, count(*) AS total, round(1 - count(b) * 1.0 / count(*), 4) AS null_rate, {shown} AS example FROM (SELECT CASE WHEN c_custkey % {n} <> 0 THEN {c} END AS b FROM customer)"
+    for n, (c, (kind, shown)) in enumerate(_CUST.items(), start=2)))
 def l16(spark, d):
     df = table(spark, d, "customer").select(
         *[F.when(F.col("c_custkey") % n != 0, F.col(c)).alias(c) for n, c in enumerate(_CUST, start=2)]
     )
-    return pr.column_schema(df).drop("type", "example")
+    return pr.column_schema(df)
 
 
 def _props(spark, d):
@@ -358,10 +361,14 @@ def l22_holds(spark, d):
     return pr.reconciliation_holds(steps(spark, d), w.history(spark, d))
 
 
+ALL_TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem",
+              "nation", "orders", "pages", "part", "region", "supplier")
+
+
 @query("l26_table_catalog", " UNION ALL ".join(
-    f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")))
+    f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in ALL_TABLES))
 def l26(spark, d):
-    names = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+    names = ALL_TABLES
     return pr.table_catalog(spark, {t: table(spark, d, t) for t in names}).select("name", "rows")
 
 

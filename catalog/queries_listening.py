@@ -8,6 +8,7 @@ from catalog import oracle as o
 from catalog import world as w
 from catalog.base import day, query, r
 from playmart.config import DAYPART_NAMES, GENRE_BUCKETS
+from playmart.functions.periods import grain_for
 from playmart.plans import allocation as al
 from playmart.plans import listening as li
 from playmart.plans import timeseries as ts
@@ -33,8 +34,8 @@ def j2(spark, d):
 
 @query("j3_grain_for_window", f"""WITH {o.PLAYS} SELECT profile_slug, CASE WHEN we - ws > 730 THEN 'week' ELSE 'day' END AS grain FROM win""")
 def j3(spark, d):
-    days = F.date_diff("window_end", "window_start")
-    return w.windows(spark, d).select(P, F.when(days > 730, "week").otherwise("day").alias("grain"))
+    grain = grain_for(F.col("window_start"), F.col("window_end"))
+    return w.windows(spark, d).select(P, grain.alias("grain"))
 
 
 @query("j5_with_coverage", f"""WITH {o.PLAYS} SELECT profile_slug, category, source_system, {o.MEASURES}, {o.HOURS}, {o.PCT} FROM pl GROUP BY 1, 2, 3""")

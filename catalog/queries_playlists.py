@@ -56,16 +56,19 @@ def p1(spark, d):
     )
 
 
-@query("p1_membership_per_playlist", f"""WITH {o.MEMBERS}, n AS (SELECT playlist_id, max(snapshot_date) AS m FROM mem WHERE NOT (year(snapshot_date) = 2001 AND playlist_id LIKE '%3') GROUP BY 1)
- SELECT playlist_id, CAST(snapshot_date AS VARCHAR) AS snapshot_date, count(*) AS members FROM mem JOIN n USING (playlist_id) WHERE snapshot_date = m GROUP BY 1, 2""")
+@query("p1_membership_per_playlist", f"""WITH {o.MEMBERS}, pk AS (SELECT row_number() OVER (ORDER BY playlist_id) AS k, playlist_id FROM (SELECT DISTINCT playlist_id FROM item)),
+ own AS (SELECT * FROM mem WHERE NOT (year(snapshot_date) = 2001 AND playlist_id LIKE '%3')), n AS (SELECT playlist_id, max(snapshot_date) AS m FROM own GROUP BY 1)
+ SELECT playlist_id AS playlist_name, CAST(snapshot_date AS VARCHAR) AS snapshot_date, content_uri, title, part % 9 <> 0 AS in_dim_content FROM own JOIN n USING (playlist_id) JOIN pk USING (playlist_id) WHERE snapshot_date = m AND k % 10 <> 0""")
 def p1_own(spark, d):
-    rows = w.membership(spark, d).filter(
-        ~((F.year("snapshot_date") == 2001) & F.col("playlist_id").endswith("3"))
+    """Each playlist at its own newest snapshot; some have none in the last year."""
+    lists = current_playlists(spark, d).withColumn("playlist_name", F.col("playlist_id"))
+    gone = (F.year("snapshot_date") == 2001) & F.col("playlist_id").endswith("3")
+    facts = fct_membership(spark, d).join(lists.select("playlist_key", "playlist_id"), "playlist_key").filter(~gone)
+    known = w.catalogue(spark, d).withColumn("content_match_key", F.lit(None).cast("string"))
+    details = star.dim_track_detail(w.tracks(spark, d), w.catalogue(spark, d), _dim_album(spark, d))
+    return pl.load_membership(facts.drop("playlist_id"), lists, known, details, per_playlist=True).select(
+        "playlist_name", day("snapshot_date"), "content_uri", "title", "in_dim_content"
     )
-    newest = rows.groupBy("playlist_id").agg(F.max("snapshot_date").alias("snapshot_date"))
-    return rows.join(newest, ["playlist_id", "snapshot_date"], "left_semi").groupBy(
-        "playlist_id", day("snapshot_date").alias("snapshot_date")
-    ).agg(F.count(F.lit(1)).alias("members"))
 
 
 @query("p2_misses", f"""WITH {_SIDES} SELECT playlist_id, content_uri, isrc FROM lt WHERE playlist_id = 'pl7' AND NOT EXISTS
@@ -159,10 +162,11 @@ def p8_orphans(spark, d):
     return pl.orphan_summary(w.membership(spark, d), known)
 
 
-@query("p8_empty_playlists", f"""WITH {o.MEMBERS}, {_PK} SELECT playlist_id FROM pk WHERE k % 10 <> 0 AND playlist_id NOT IN (SELECT playlist_id FROM mem WHERE position % 400 = 1)""")
+@query("p8_empty_playlists", f"""WITH {o.MEMBERS}, {_PK} SELECT playlist_id FROM pk WHERE k % 10 <> 0 AND playlist_id NOT IN (SELECT playlist_id FROM mem WHERE added_at >= DATE '2001-10-31')""")
 def p8_empty(spark, d):
-    thin = fct_membership(spark, d).filter("position % 400 = 1")
-    return pl.empty_playlists(_named(spark, d), thin).select("playlist_id")
+    """Playlists that have no member added lately."""
+    late = fct_membership(spark, d).filter("added_at >= date '2001-10-31'")
+    return pl.empty_playlists(_named(spark, d), late).select("playlist_id")
 
 
 _NEEDLES = ("mix's supplier#000000003", "SUPPLIER#000000007", "0000001", "nobody", "mix’s supplier")

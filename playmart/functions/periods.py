@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,9 +18,9 @@ def _known(grain: str) -> str:
     return grain
 
 
-def grain_for(first: date, last: date) -> str:
+def grain_for(first: Column, last: Column) -> Column:
     """Weeks once a window is longer than two years, days before that."""
-    return "week" if (last - first).days > SETTINGS.weekly_after_days else "day"
+    return F.when(F.date_diff(last, first) > SETTINGS.weekly_after_days, "week").otherwise("day")
 
 
 def period_start(day: Column, grain: str) -> Column:

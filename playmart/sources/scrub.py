@@ -75,6 +75,36 @@ def scrub_payload(df, column: str, feed: str, owner_id: Column | None = None):
     return df, sorted(wanted & (_paths(before) - _paths(after)))
 
 
+def _without(value: Column, paths: list[list[str]]) -> Column:
+    """A variant without the fields at `paths`; what is not mentioned stays, whatever it is."""
+    fields = F.try_variant_get(value, F.lit("$"), "map<string,variant>")
+    gone = [p[0] for p in paths if len(p) == 1]
+    kept = F.map_filter(fields, lambda key, _: ~key.isin(*gone)) if gone else fields
+    for head in sorted({p[0] for p in paths if len(p) > 1}):
+        below = [p[1:] for p in paths if p[0] == head and len(p) > 1]
+        kept = F.transform_values(kept, _inside(head, below))
+    return F.when(fields.isNotNull(), F.parse_json(F.to_json(kept))).otherwise(value)
+
+
+def _inside(head: str, below: list[list[str]]):
+    name = head.removesuffix("[]")
+
+    def change(key: Column, value: Column) -> Column:
+        if not head.endswith("[]"):
+            return F.when(key == name, _without(value, below)).otherwise(value)
+        items = F.try_variant_get(value, F.lit("$"), "array<variant>")
+        cleaned = F.parse_json(F.to_json(F.transform(items, lambda x: _without(x, below))))
+        return F.when((key == name) & items.isNotNull(), cleaned).otherwise(value)
+
+    return change
+
+
+def scrub_json(payload: Column, feed: str) -> Column:
+    """A raw JSON payload without the feed's private paths; unknown keys are kept as they are."""
+    paths = [p.split(".") for p in REMOVED_PATHS.get(feed, ())]
+    return F.to_json(_without(F.parse_json(payload), paths)) if paths else payload
+
+
 def scrub_export_record(df):
     """Without the columns that hold addresses and user agents."""
     return df.drop(*EXPORT_PII_KEYS)

@@ -51,9 +51,10 @@ def test_time_without_any_duration_is_null(rows):
     assert got["b"]["skipped_count"] == 0
 
 
-def test_grain():
-    assert grain_for(date(2014, 2, 24), date(2026, 9, 13)) == "week"
-    assert grain_for(date(2025, 1, 1), date(2026, 1, 1)) == "day"
+def test_grain(rows):
+    spans = rows([("2014-02-24", "2026-09-13"), ("2025-01-01", "2026-01-01")], "a date, b date")
+    assert {r[0]: r[1] for r in spans.select("a", grain_for(F.col("a"), F.col("b"))).collect()} == {
+        date(2014, 2, 24): "week", date(2025, 1, 1): "day"}
 
 
 def test_clock_circle(rows):
