@@ -263,6 +263,37 @@ def a13(spark, d):
     return wr.backfill_feed(raw, patterns).groupBy("feed").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("a13_backfill_checked", """SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'me' WHEN o_orderkey % 3 = 1 THEN 'track' ELSE 'playlist' END AS feed, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS ids, CAST(sum(length(o_orderstatus || o_orderpriority)) AS BIGINT) AS payload_chars FROM orders GROUP BY 1""")
+def a13_checked(spark, d):
+    """Old captures written, backfilled beside, compared column for column, and read from there."""
+    n = F.col("o_orderkey") % 3
+    base = f"{shared_dir(spark)}/backfill-{uuid.uuid4().hex}"
+    table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.concat("o_orderstatus", "o_orderpriority").alias("payload"),
+        F.concat(F.when(n == 0, "me/").when(n == 1, "tracks/").otherwise("me_playlists/"), w.text("o_orderkey")).alias("source_file"),
+    ).write.parquet(f"{base}/now")
+    patterns = {"me": "me/%", "track": "tracks/%", "playlist": "me\\_playlists/%"}
+    done = spark.read.parquet(wr.backfill_checked(spark, f"{base}/now", f"{base}/next", patterns))
+    return done.groupBy("feed").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"), F.sum(F.char_length("payload")).alias("payload_chars")
+    )
+
+
+@query("a12_rebuild_with_control", f"""WITH {o.HIST} SELECT profile_slug, count(*) AS rows, count(*) FILTER (profile_slug <> 'p0' AND raw_id % 1000 = 1) AS moved FROM hist GROUP BY 1""")
+def a12_rebuild(spark, d):
+    """A rebuild that changes every profile but the control: its path is handed over."""
+    base = f"{shared_dir(spark)}/rebuild-{uuid.uuid4().hex}"
+    h = w.history(spark, d).select(P, "content_uri", "ended_at_utc", "raw_response_id")
+    h.write.partitionBy(P).parquet(f"{base}/now")
+    changed = (F.col(P) != "p0") & (F.col("raw_response_id") % 1000 == 1)
+    rebuilt = h.withColumn("content_uri", F.when(changed, F.lit("moved")).otherwise(F.col("content_uri")))
+    path = wr.rebuild_with_control(
+        spark, f"{base}/now", rebuilt, f"{base}/next", "p0", [P], ["content_uri", "ended_at_utc", "raw_response_id"]
+    )
+    return spark.read.parquet(path).groupBy(P).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("content_uri") == "moved").alias("moved"))
+
+
 @query("a12_rebuild_fingerprints", "SELECT 'p' || (o_custkey % 5) AS profile_slug FROM orders WHERE o_custkey % 5 = 2 GROUP BY 1")
 def a12(spark, d):
     h = w.history(spark, d).select(P, "content_uri", "ended_at_utc", "raw_response_id")

@@ -120,10 +120,16 @@ def l24(spark, d):
 @query("l25_gap_evidence", f"""WITH {o.EVENTS} SELECT source_system, content_type, count(*) AS plays, count(*) - count(ms) AS null_durations
  FROM ep GROUP BY ALL""")
 def l25(spark, d):
-    return w.event_plays(spark, d).groupBy("source_system", "content_type").agg(
-        F.count(F.lit(1)).alias("plays"),
-        (F.count(F.lit(1)) - F.count("ms_played")).alias("null_durations"),
-    )
+    from playmart.plans.profiling import gap_evidence
+
+    return gap_evidence(w.event_plays(spark, d))
+
+
+@query("l25_captured_item_types", f"""WITH {o.EVENTS} SELECT content_type AS type, count(*) AS items FROM (SELECT {o.kind('k')} AS content_type FROM ev WHERE api) GROUP BY 1""")
+def l25_types(spark, d):
+    from playmart.plans.profiling import captured_item_types
+
+    return captured_item_types(w.captured_pages(spark, d))
 
 
 @query("j1_coverage_window", f"""WITH {o.EVENTS}, {o.ZONES} SELECT profile_slug,

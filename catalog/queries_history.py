@@ -285,8 +285,9 @@ def l17(spark, d):
     return pr.payload_key_schema(_props(spark, d))
 
 
-@query("l18_describe_shape", """SELECT * FROM (VALUES ('$','object'),('$.k','number|string'),('$.note','null|string'),('$.tags','array'),('$.tags[]','object'),
- ('$.tags[].name','number|string'),('$.owner','object'),('$.owner.id','string')) v(path, types) WHERE EXISTS (SELECT 1 FROM events)""")
+@query("l18_describe_shape", """WITH n AS (SELECT count(*) AS n, count(*) FILTER (event_id % 3 = 0) AS texts, count(*) FILTER (event_id % 4 = 0) AS nulls, count(*) FILTER (event_id % 4 = 1) AS notes FROM events)
+ SELECT v.path, v.types FROM n, LATERAL (VALUES ('$', 'object'), ('$.k', concat_ws('|', CASE WHEN texts < n THEN 'number' END, CASE WHEN texts > 0 THEN 'string' END)),
+  ('$.note', concat_ws('|', CASE WHEN nulls > 0 THEN 'null' END, CASE WHEN notes > 0 THEN 'string' END)), ('$.tags', 'array'), ('$.tags[]', 'object'), ('$.tags[].name', 'number|string'), ('$.owner', 'object'), ('$.owner.id', 'string')) v(path, types) WHERE n > 0""")
 def l18(spark, d):
     return pr.describe_shape(_props(spark, d))
 
@@ -305,6 +306,16 @@ def l20(spark, d):
     return pr.field_presence(_props(spark, d), ["k", "note", "popularity"])
 
 
+@query("l20_presence_by_kind", """WITH e AS (SELECT event_type, event_id % 4 <= 1 AS noted FROM events), n AS (SELECT event_type, count(*) AS examined, count(*) FILTER (noted) AS noted FROM e GROUP BY 1)
+ SELECT event_type AS object, 'k' AS field, examined AS present, examined, 'present' AS state FROM n WHERE event_type IN ('view', 'click')
+ UNION ALL SELECT 'view', 'note', noted, examined, CASE WHEN noted = 0 THEN 'absent' WHEN noted < examined THEN 'partly present' ELSE 'present' END FROM n WHERE event_type = 'view'
+ UNION ALL SELECT 'click', 'popularity', 0, examined, 'absent' FROM n WHERE event_type = 'click' UNION ALL SELECT 'album', 'k', 0, 0, 'not examined' """)
+def l20_kinds(spark, d):
+    kinds = table(spark, d, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("kind"))
+    watched = [("view", "k"), ("click", "k"), ("view", "note"), ("click", "popularity"), ("album", "k")]
+    return pr.presence_by_kind(_props(spark, d).join(kinds, "id"), watched)
+
+
 @query("l21_redact", """SELECT c_custkey AS customer, '<redacted>' AS display_name, CASE WHEN c_nationkey % 2 = 0 THEN '<redacted>' END AS country_id, c_mktsegment AS segment, '<redacted>' AS platform FROM customer""")
 def l21(spark, d):
     c = table(spark, d, "customer").select(

@@ -275,6 +275,31 @@ def field_presence(records: DataFrame, watched: Sequence[str], payload: str = "p
     return rows.withColumn("state", state)
 
 
+def presence_by_kind(
+    records: DataFrame, watched: Sequence[tuple[str, str]], kind: str = "kind", payload: str = "payload"
+) -> DataFrame:
+    """`field_presence` for watched (object kind, field) pairs over objects of many kinds, in one pass.
+
+    Objects are counted per kind once; a kind of which none came is `not examined`.
+    """
+    keys = F.coalesce(F.json_object_keys(payload), F.array().cast("array<string>"))
+    wanted = small_table(records.sparkSession, watched, "object string, field string")
+    names = sorted({name for _, name in watched})
+    counted = F.array(*[
+        F.struct(F.lit(n).alias("field"), F.count_if(F.array_contains(keys, n)).alias("present")) for n in names
+    ])
+    found = records.groupBy(F.col(kind).alias("object")).agg(
+        F.count(F.lit(1)).alias("examined"), counted.alias("c")
+    ).select("object", "examined", F.explode("c").alias("c")).select("object", "examined", "c.*")
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("present", "examined")}
+    rows = wanted.join(found, ["object", "field"], "left").withColumns(zero)
+    state = (
+        F.when(F.col("examined") == 0, "not examined").when(F.col("present") == 0, "absent")
+        .when(F.col("present") < F.col("examined"), "partly present").otherwise("present")
+    )
+    return rows.withColumn("state", state)
+
+
 # --- Facts about the sources ----------------------------------------------------------------------
 
 
@@ -291,6 +316,23 @@ def api_window_facts(plays: DataFrame, polls: DataFrame) -> DataFrame:
     )
 
 
+def gap_evidence(plays: DataFrame) -> DataFrame:
+    """Plays and missing durations per source and content type."""
+    return plays.groupBy("source_system", "content_type").agg(
+        F.count(F.lit(1)).alias("plays"),
+        (F.count(F.lit(1)) - F.count("ms_played")).alias("null_durations"),
+    )
+
+
+def captured_item_types(raw: DataFrame) -> DataFrame:
+    """How many captured items carry each track type; `missing` where none is said."""
+    kinds = F.from_json("payload", "items array<struct<track struct<type string>>>")
+    items = raw.filter("feed = 'recently_played'").select(F.explode(kinds["items"]).alias("item"))
+    return items.groupBy(F.coalesce("item.track.type", F.lit("missing")).alias("type")).agg(
+        F.count(F.lit(1)).alias("items")
+    )
+
+
 def export_section(records: DataFrame) -> DataFrame:
     """Files, span and content types of each profile's export."""
     per_file = records.groupBy("profile_slug", "source_file").agg(

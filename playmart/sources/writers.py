@@ -114,6 +114,23 @@ def backfill_feed(raw: DataFrame, patterns: dict[str, str]) -> DataFrame:
     return guarded(raw.withColumn("feed", feed), {"every file has a feed": F.col("feed").isNotNull()})
 
 
+def backfill_checked(
+    spark: SparkSession, current: str, target: str, patterns: dict[str, str]
+) -> str:
+    """Write `current` with its feeds filled in, and prove that no other column has changed.
+
+    The proof is one order-free fingerprint over all old columns, of the rows as they are and as they
+    are read back from `target`; a difference raises and leaves `current` the valid table.
+    """
+    raw = spark.read.parquet(current)
+    backfill_feed(raw, patterns).write.mode("errorifexists").parquet(target)
+    old = [c for c in raw.columns if c != "feed"]
+    marks = [fingerprint(spark.read.parquet(p).select(*old), [], old) for p in (current, target)]
+    if marks[0].first() != marks[1].first():
+        raise SourceError(f"older columns changed during the backfill; {current} stays valid")
+    return target
+
+
 def write_extract(df: DataFrame, path: str) -> None:
     """CSV with a header. Files follow Spark's partitions; a spreadsheet-sized extract has one."""
     df.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").csv(path, header=True)
