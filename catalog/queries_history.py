@@ -57,20 +57,24 @@ def l3(spark, d):
 
 
 def _cells(cols, source):
-    return " UNION ALL ".join(f"SELECT '{c}' AS field, CAST({c} AS VARCHAR) AS value FROM {source}" for c in cols)
+    return " UNION ALL ".join(f"SELECT profile_slug, '{c}' AS field, CAST({c} AS VARCHAR) AS value FROM {source}" for c in cols)
 
 
-_PROFILED = ["content_type", "reason_end", "was_skipped", "platform", "conn_country", "source_file", "ms_played"]
+_PROFILED = {"content_type": "string", "reason_end": "string", "was_skipped": "boolean", "platform": "string",
+             "conn_country": "string", "source_file": "string", "ms_played": "bigint"}
 _PSQL = [c if c != "ms_played" else "ms" for c in _PROFILED]
+_KINDS = ", ".join(f"('{c}', '{kind}')" for c, kind in zip(_PSQL, _PROFILED.values()))
+_FAMILY = o.FAMILY.replace("platform", "value")
 
 
-@query("l4_field_profile", f"""WITH {o.HIST}, cl AS ({_cells(_PSQL, "hist")}), ct AS (SELECT field, value, count(*) AS n FROM cl GROUP BY 1, 2),
- s AS (SELECT field, CAST(sum(n) AS BIGINT) AS rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS nulls, count(value) AS distinct_values, min(value) AS low, max(value) AS high FROM ct GROUP BY 1),
- t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY field ORDER BY n DESC, value) AS rk FROM ct WHERE value IS NOT NULL) WHERE rk = 1)
- SELECT CASE s.field WHEN 'ms' THEN 'ms_played' ELSE s.field END AS field, rows, nulls, distinct_values, CASE WHEN s.field = 'platform' THEN '<redacted>' ELSE low END AS low,
-  CASE WHEN s.field = 'platform' THEN '<redacted>' ELSE high END AS high, CASE WHEN s.field = 'platform' THEN '<redacted>' ELSE t.value END AS top_value, t.n AS top_count FROM s LEFT JOIN t USING (field)""")
+@query("l4_field_profile", f"""WITH {o.HIST}, kinds(field, type) AS (VALUES {_KINDS}), cl AS ({_cells(_PSQL, "hist")}), ct AS (SELECT profile_slug, field, value, count(*) AS n FROM cl GROUP BY 1, 2, 3),
+ s AS (SELECT profile_slug, field, CAST(sum(n) AS BIGINT) AS rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS nulls, count(value) AS distinct_values, min(value) AS low, max(value) AS high FROM ct GROUP BY 1, 2),
+ sh AS (SELECT profile_slug, field, CASE WHEN field = 'platform' THEN {_FAMILY} ELSE value END AS value, CAST(sum(n) AS BIGINT) AS n FROM ct WHERE value IS NOT NULL GROUP BY 1, 2, 3),
+ t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_slug, field ORDER BY n DESC, value) AS rk FROM sh) WHERE rk = 1)
+ SELECT profile_slug, CASE s.field WHEN 'ms' THEN 'ms_played' ELSE s.field END AS field, type, rows, nulls, distinct_values, CASE WHEN s.field = 'platform' THEN '<redacted>' ELSE low END AS low,
+  CASE WHEN s.field = 'platform' THEN '<redacted>' ELSE high END AS high, t.value AS top_value, t.n AS top_count FROM s JOIN kinds USING (field) LEFT JOIN t USING (profile_slug, field)""")
 def l4(spark, d):
-    return pr.field_profile(w.history(spark, d), _PROFILED)
+    return pr.field_profile(w.history(spark, d), list(_PROFILED), [P])
 
 
 @query("l5_records_per_month", f"""WITH {o.HIST} SELECT profile_slug, CAST(CAST(date_trunc('month', ended) AS DATE) AS VARCHAR) AS month, count(*) AS records, {o.HOURS} FROM hist WHERE source_system = 'export' GROUP BY 1, 2""")

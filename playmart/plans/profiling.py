@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from playmart.config import (
     HIDDEN_VALUE_FIELDS, IDENTIFIER_FIELDS, IDENTIFIER_SUFFIXES, PERSON_FIELDS, REDACTED,
 )
+from playmart.functions.text import platform_family
 from playmart.operators.ordered import top_per_group
 from playmart.session import small_table
 
@@ -102,27 +103,40 @@ def column_schema(df: DataFrame) -> DataFrame:
     )
 
 
-def field_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Per column: nulls, distinct values, range and the most frequent value with its count.
+def field_profile(
+    df: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Per column (and group, with `keys`): type, nulls, distinct values, range, most frequent value.
 
-    Cells are counted per (field, value) with a map-side step; the rest reads those counts.
+    Counts and ranges of all columns come out of one plain aggregate; only the filled cells are
+    counted per value, with a map-side step, for the distinct values and the mode. Where a column's
+    values must not be shown, its range is masked; of a device column the mode is the device family.
     """
     columns = list(columns or df.columns)
-    counts = stacked(df, columns).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
-    known = F.col("value").isNotNull()
-    summary = counts.groupBy("field").agg(
-        F.sum("n").alias("rows"),
-        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("nulls"),
-        F.count("value").alias("distinct_values"),
-        F.min("value").alias("low"), F.max("value").alias("high"),
-    )
-    mode = top_per_group(
-        counts.filter(known), ["field"], [F.desc("n"), F.asc("value")], 1
-    ).select("field", F.col("value").alias("top_value"), F.col("n").alias("top_count"))
+    kinds = dict(df.dtypes)
+    text = {c: _quoted(c).cast("string") for c in columns}
+    stats = F.array(*[
+        F.struct(
+            F.lit(c).alias("field"), F.lit(kinds[c]).alias("type"), F.count(F.lit(1)).alias("rows"),
+            F.count_if(_quoted(c).isNull()).alias("nulls"),
+            F.min(text[c]).alias("low"), F.max(text[c]).alias("high"),
+        )
+        for c in columns
+    ])
+    summary = df.groupBy(*keys).agg(stats.alias("s")).select(*keys, F.explode("s").alias("s")).select(*keys, "s.*")
+    counts = stacked(df, columns, keys).filter(F.col("value").isNotNull()).groupBy(*keys, "field", "value").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    distinct = counts.groupBy(*keys, "field").agg(F.count(F.lit(1)).alias("distinct_values"))
     hidden = F.col("field").isin(*[c for c in columns if hides_values(c)])
+    shown = F.when(F.col("field") == "platform", platform_family(F.col("value"))).when(hidden, F.lit(REDACTED)).otherwise(F.col("value"))
+    modes = counts.groupBy(*keys, "field", shown.alias("top_value")).agg(F.sum("n").alias("top_count"))
+    mode = top_per_group(modes, [*keys, "field"], [F.desc("top_count"), F.asc("top_value")], 1).drop("rank")
     cover = lambda c: F.when(hidden & F.col(c).isNotNull(), F.lit(REDACTED)).otherwise(F.col(c))
-    return summary.join(mode, "field", "left").withColumns(
-        {c: cover(c) for c in ("low", "high", "top_value")}
+    return (
+        summary.join(distinct, [*keys, "field"], "left").join(mode, [*keys, "field"], "left")
+        .withColumns({"low": cover("low"), "high": cover("high"),
+                      "distinct_values": F.coalesce("distinct_values", F.lit(0))})
     )
 
 
