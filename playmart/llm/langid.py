@@ -1,6 +1,7 @@
 """Language identification: averaged hashed subword embeddings under a linear softmax.
 
-A text is the mean of the embeddings of all subwords of all its words. Training is plain stochastic
+A text is the mean of the embeddings of all subwords of all its words. Subwords are hashed over whole
+texts at once rather than word by word, since most words of a large corpus are new. Training is plain stochastic
 gradient descent in numpy over a bounded sample of labelled rows; part of the sample is held back to
 set the temperature of the scores and the score below which a text is rejected.
 """
