@@ -36,8 +36,14 @@ _INNER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _TRIM = "_./+-"
 # Shortest unknown identifier, and how far its context may reach.
 LEAST_LENGTH, REACH = 6, 48
+# Unknown values of more than one token. Every quantifier over their length is possessive: no run is read twice.
+_GROUPED = re.compile(r"(?<![\w.@/-])[+(\[]{0,3}[0-9]++(?:(?:[)\]]?\x20?[-/\u2010-\u2014]?\x20?[(\[]?|\.|[(\[]\.[)\]])[0-9]++)*+")
+_COLONS = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,}+")
+_AT = re.compile(r"\x20?@\x20?|\x20?[(\[]at[)\]]\x20?|\x20at\x20", re.IGNORECASE)
+_HOST = re.compile(r"[\w-]++(?:(?:\.|\x20dot\x20|\x20?[(\[](?:\.|dot)[)\]]\x20?)[\w-]++)*+", re.IGNORECASE)
 
 FOUND = "array<struct<start:bigint,end:bigint,kind:string,value:bigint,patterns:array<string>>>"
+ADDED = "array<struct<start:bigint,end:bigint,kind:string>>"
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -122,12 +128,63 @@ def _unknown(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int
             yield a, b
 
 
+def _grouped(text: str) -> Iterator[tuple[int, int]]:
+    """Digits in groups: joined by a blank, dash, slash, dot or bracket."""
+    for m in _GROUPED.finditer(text):
+        a, b = m.span()
+        if b < len(text) and (text[b].isalnum() or text[b] in "_@"):  # the last group belongs to a word
+            while b > a and text[b - 1].isdigit():
+                b -= 1
+            while b > a and not text[b - 1].isdigit():
+                b -= 1
+        if b - a >= LEAST_LENGTH:
+            yield a, b
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Numbers with colons, and names at a host without a dot or with its signs spelled out."""
+    for m in _COLONS.finditer(text):
+        a, b = m.span()
+        if b - a >= LEAST_LENGTH and (b == len(text) or not (text[b].isalnum() or text[b] == "_")):
+            yield a, b
+    done = 0
+    for at in _AT.finditer(text):
+        start = at.start()
+        while start > done and text[start - 1] in _LOCAL:
+            start -= 1
+        host = _HOST.match(text, at.end()) if start < at.start() else None
+        # a bare word "at" is an address only before a host of several parts
+        if host and ("at" not in at.group().lower().split() or re.search(r"\W", host.group())):
+            done = host.end()
+            yield start, done
+
+
+def _wider(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """Values of several tokens, whole stretches between base spans."""
+    done = 0
+    for a, _, b in [*sorted(taken), (len(text), 0, len(text))]:
+        if a > done:
+            for way in (_grouped, _addresses):
+                for x, y in way(text[done:a]):
+                    yield done + x, done + y
+        done = max(done, b)
+
+
+def _outermost(spans: list[dict]) -> list[dict]:
+    """Sorted spans without those inside another one."""
+    out: list[dict] = []
+    for s in sorted(spans, key=lambda s: (s["start"], -s["end"], s["kind"])):
+        if not out or s["end"] > out[-1]["end"]:
+            out.append(s)
+    return out
+
+
 def occurrences(text: str | None) -> list[dict]:
     """Base spans (with kind) and unknown identifiers (kind None), each with value and patterns."""
     if not text:
         return []
     base = base_spans(text)
-    spans = [(a, b, KINDS[k]) for a, k, b in base] + [(a, b, None) for a, b in _unknown(text, base)]
+    spans = [(a, b, KINDS[k]) for a, k, b in base] + [(a, b, None) for a, b in sorted({*_unknown(text, base), *_wider(text, base)})]
     return [
         {"start": a, "end": b, "kind": kind, "patterns": _patterns(text, a, b),
          "value": xxhash.xxh64_intdigest(text[a:b].lower().encode()) - (1 << 63)}
@@ -193,11 +250,16 @@ def discover(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rounds
     ).rows
     each = base.select("h1", "h2", F.explode("found").alias("x")).select("h1", "h2", "x.*")
     trusted = stored(score_patterns(each.select(F.explode("patterns").alias("pattern"), "value", "kind"), rounds), "pii-trusted").rows
+
+    def outer():
+        return lambda spans: [[_outermost(s) for s in spans.to_pylist()]]
+
     unknown = each.filter("kind is null").drop("kind").distinct().withColumn("pattern", F.explode("patterns"))
     added = stored(
         join_counted(unknown, trusted, "pattern", "inner", trusted.count())
         .groupBy("h1", "h2", "start", "end").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
-        .groupBy("h1", "h2").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("added")), "pii-added",
+        .groupBy("h1", "h2").agg(F.collect_list(F.struct("start", "end", "kind")).alias("all"))
+        .transform(lambda d: annotate(d, [F.col("all")], outer, f"added {ADDED}", carry=["h1", "h2"]).select("row.*", "added")), "pii-added",
     ).rows
     return base, added, added.count()
 
@@ -218,7 +280,7 @@ def find_personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
             s["end"].alias("end"), s["kind"].alias("kind"))))
 
     base = listed(F.filter("found", lambda s: s["kind"].isNotNull()))
-    more = listed(F.coalesce("added", F.array().cast("array<struct<start:bigint,end:bigint,kind:string>>")))
+    more = listed(F.coalesce("added", F.array().cast(ADDED)))
     joined = join_counted(found, added, ["h1", "h2"], "left", n)
     return joined.select("doc_id", base.alias("base"), F.array_sort(F.concat(base, more)).alias("spans"))
 

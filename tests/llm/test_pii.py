@@ -68,6 +68,39 @@ def test_patterns_found_from_seeds_mark_unseen_identifiers(docs):
     assert clean[40].text == rows[40][1]
 
 
+UNSEEN = {
+    "phone": ("reach me by phone: {}", ["(743) 555-3824", "743 555 3825", "743-555-3826"]),
+    "card": ("paid with card number {} today", ["4111 1111 1111 1112", "5500-0000-0000-0005"]),
+    "email": ("write to email: {}", ["name at example dot com", "other@localhost", "who [at] site [dot] org", "third (at) site.org"]),
+    "ip": ("came from ip address {} again", ["fe80::1:2a3f", "10[.]0[.]37[.]5"]),
+}
+
+
+def test_unseen_forms_of_every_kind_are_found_behind_trusted_cues(docs):
+    seen = {
+        "phone": lambda i: f"+1 (555) 010-{i:04d}", "email": lambda i: f"user{i}@mail.example", "ip": lambda i: f"10.1.2.{i}",
+        "card": lambda i: next(f"411111{i:09d}{c}" for c in range(10) if pii.luhn(f"411111{i:09d}{c}")),
+    }
+    texts = [(cue.format(seen[k](i)), None, k) for k, (cue, _) in UNSEEN.items() for i in range(40)]
+    texts += [(cue.format(v), v, k) for k, (cue, forms) in UNSEEN.items() for v in forms if not pii.base_spans(v)]
+    plain_texts = ["rooms 12 30 45 60 in the house", "meet at noon. Then at 12:30:45 or 1999-2003 go", "look at the dot here"]
+    rows = [(i, t[0]) for i, t in enumerate(texts)] + [(1000 + i, t) for i, t in enumerate(plain_texts)]
+    got = {r.doc_id: r.spans for r in pii.find_personal_data(docs(rows)).collect()}
+    unseen = [(i, *t) for i, t in enumerate(texts) if t[1]]
+    assert {k for *_, k in unseen} == set(pii.KINDS)
+    for i, text, value, kind in unseen:
+        assert [(text[s.start : s.end], s.kind) for s in got[i]] == [(value, kind)], text
+    assert not any(got[1000 + i] for i in range(len(plain_texts)))
+
+
+def test_long_runs_of_separated_values_take_no_long():
+    for text in ("1 " * 200_000 + "a", "(1) " * 100_000, "a1-2" * 100_000, ":" * 300_000, "a at " * 100_000, "a [at] b dot " * 50_000, "1" * 300_000 + "b", "a." * 200_000 + " at x"):
+        pii.occurrences(text)
+    assert pii._outermost([]) == []
+    spans = [{"start": a, "end": b, "kind": "card"} for a, b in ((5, 9), (0, 10), (0, 4), (12, 20), (15, 24))]
+    assert [(s["start"], s["end"]) for s in pii._outermost(spans)] == [(0, 10), (12, 20), (15, 24)]
+
+
 def test_scores_equal_a_plain_computation(spark):
     seen = [("p", i, "card") for i in range(8)] + [("p", 20, None), ("p", 21, None), ("q", 20, None), ("q", 21, None), ("q", 0, "card"), ("q", 1, "card")] + [("r", 30 + i, None) for i in range(9)]
     trusted = pii.score_patterns(spark.createDataFrame(seen, "pattern string, value long, kind string")).collect()
