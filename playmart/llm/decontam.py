@@ -67,11 +67,11 @@ class Index:
     """Items of one pass: word numbers, and where each piece lies."""
 
     words: dict[str, int] = field(default_factory=dict)
-    items: list[tuple[int, list[int], int]] = field(default_factory=list)  # id, words, budget
+    items: list[tuple[int | None, list[int], int]] = field(default_factory=list)  # id, words, budget
     pieces: dict[int, dict[tuple[int, ...], list[tuple[int, int]]]] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str]], similarity: float) -> Index:
+    def of(cls, rows: list[tuple[int | None, str]], similarity: float) -> Index:
         index = cls()
         for item_id, text in rows:
             ids = [index.words.setdefault(w, len(index.words) + 1) for w in words_of(text)]
@@ -98,7 +98,7 @@ def _rolled(columns) -> np.ndarray:
     return h
 
 
-def occurrences(text: str | None, index: Index, keys: dict[int, np.ndarray]) -> list[tuple[int, int, int, int]]:
+def occurrences(text: str | None, index: Index, keys: dict[int, np.ndarray]) -> list[tuple[int | None, int, int, int]]:
     """(item id, distance, first word, end word) of each item's nearest occurrence in the whole text.
 
     The end is that of the first of the nearest occurrences; the first word is the start of the
@@ -133,7 +133,12 @@ def occurrences(text: str | None, index: Index, keys: dict[int, np.ndarray]) ->
                 best = (hit[0], a + hit[1])
         if best:
             found.append((item_id, best[0], max(0, best[1] - len(words)), best[1]))
-    return sorted(found)
+    return sorted(found, key=_order)
+
+
+def _order(found: tuple) -> tuple:
+    """Tuples that begin with an item id, those without one first, as Spark sorts them."""
+    return found[0] is not None, found[0] or 0, *found[1:]
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -148,7 +153,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _passes(benchmark: DataFrame, item_id: str, text: str, per_pass: int):
     """The benchmark in parts of about `per_pass` words, each small enough for every task."""
-    items = benchmark.filter(F.col(item_id).isNotNull() & F.col(text).isNotNull()).select(
+    items = benchmark.filter(F.col(text).isNotNull()).select(
         F.col(item_id).cast("long").alias("i"), F.col(text).alias("t"))
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = total // (6 * per_pass) + 1
@@ -161,12 +166,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
                item_text: str = "text", similarity: float = SIMILARITY, per_pass: int = WORDS_PER_PASS) -> DataFrame:
     """`row` (all columns of docs) and `leaks`: an array of (item_id, distance, first_word, end_word).
 
-    Every item found in the text with at most errors(n) word edits is listed once, by item id. Null
-    and empty texts, and an empty benchmark, give an empty array; items without words match nothing.
+    Every item found in the text with at most errors(n) word edits is listed once, by item id; an item
+    without an id counts like any other and is listed with a null id. Null and empty texts, and an empty benchmark, give an empty array; items without words match nothing.
     """
     found = None
     for rows in _passes(benchmark, item_id, item_text, per_pass):
-        broadcast = docs.sparkSession.sparkContext.broadcast(Index.of(sorted(rows), similarity))
+        broadcast = docs.sparkSession.sparkContext.broadcast(Index.of(sorted(rows, key=_order), similarity))
 
         def make(broadcast=broadcast):
             index = broadcast.value

@@ -64,3 +64,14 @@ def test_passes_over_a_large_benchmark_add_up(spark, docs):
     one = d.find_leaks(frame, bench).select("row.doc_id", "leaks").collect()
     many = d.find_leaks(frame, bench, per_pass=40).select("row.doc_id", "leaks").collect()
     assert sorted(map(repr, one)) == sorted(map(repr, many)) and all(len(r.leaks) == 3 for r in one)
+
+
+def test_items_without_an_id_count(spark, docs):
+    a, b, c = "alpha beta gamma delta epsilon zeta", "one two three four five six seven", "red green blue white black grey"
+    rows = docs([(1, f"so {a} it is"), (2, f"{c} and {b} and {a}"), (3, "nothing of the kind here")])
+    bench = spark.createDataFrame([(None, a), (None, b), (7, c), (None, None)], "item_id long, text string")
+    for per_pass in (d.WORDS_PER_PASS, 2):
+        got = {r.row.doc_id: [(x.item_id, x.first_word) for x in r.leaks] for r in d.find_leaks(rows, bench, per_pass=per_pass).collect()}
+        assert got[1] == [(None, 1)] and got[3] == []
+        assert sorted(got[2], key=lambda x: x[1]) == [(7, 0), (None, 7), (None, 15)]
+    assert [r.doc_id for r in d.without_leaks(rows, bench).collect()] == [3]
