@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playmart.llm import bfd_packing, chat, decontam, langid, order_minhash, ordinal_quality, pii, retrieval_packing, simhash, urls
+from playmart.llm import (
+    bfd_packing, chat, decontam, langid, order_minhash, ordinal_quality, pii, prefix_trie, retrieval_packing, simhash, urls,
+)
+from playmart.llm.oracles import PREFIX_TRIE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -28,6 +31,7 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
                cast(sum(length('<|turn|>' || shown_role || '<|text|>' || chr(10) || shown || '<|end|>' || chr(10))) as bigint) as formatted_chars
         from told group by conv_id""",
+    "op13_prefix_trie": PREFIX_TRIE,
 }
 
 
@@ -128,3 +132,8 @@ def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return found.select("doc_id", *map(counted, pii.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"),
                         joined("spans").alias("spans"))
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build_trie(*prefix_trie.rebuilt_turns(_read(spark, sf_dir, "conversations")))
