@@ -46,3 +46,37 @@ PREFIX_TRIE = f"""
            cast(sum(cast(m.n_children = 0 as bigint)) as bigint) as n_leaves, cast(sum(m.saved) as bigint) as saved_tokens, n.ends_sha256
     from fans n join members m on m.conv_id = n.conv_id and m.depth = n.depth
     group by n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, n.ends_sha256"""
+
+_RUN_BYTES = """flatten(list_transform(string_split(concat(coalesce(cast(doc_id as varchar), ''), ':', run), ''), lambda x:
+            case when unicode(x) < 128 then [cast(unicode(x) as bigint)]
+                 else [cast(195 as bigint), cast(unicode(x) - 64 as bigint)] end))"""
+
+SPELLING = f"""
+    with recursive {CRC_TABLE}, runs as (
+        select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+        from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) as run from documents where text is not null)
+        group by all
+    ), told as (
+        select run, n, {crc32(_RUN_BYTES, "t")} as h from runs, crc_table
+    ), words as (
+        select case when h % 199 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word, sum(n) as n
+        from told group by 1 having length(word) >= 6 and sum(n) >= 5
+    ), places as (
+        select word, n, i, word[:i] || word[i + 2:] as rest from (select word, n, unnest(range(length(word))) as i from words)
+    ), near as (
+        select distinct a.word, b.word as other, b.n as other_n
+        from places a join places b on a.i = b.i and a.rest = b.rest and a.word != b.word and length(a.word) = length(b.word)
+        union select p.word, w.word, w.n from places p join words w on p.rest = w.word
+        union select w.word, p.word, p.n from places p join words w on p.rest = w.word
+    ), best as (
+        select word, count(*) as n_near, max(other_n) as top, arg_min(other, (-other_n, other)) as other from near group by word
+    ), forms as (
+        select w.word, w.n, coalesce(n_near, 0) as n_near, case when top >= 5 * w.n then other end as form,
+               case when top >= 5 * w.n then top end as form_n
+        from words w left join best b on w.word = b.word
+    ), chain as (
+        select word, word as root, form as next from forms
+        union all select c.word, f.word, f.form from chain c join forms f on c.next = f.word
+    )
+    select f.word, cast(f.n as bigint) as n, cast(n_near as bigint) as n_near, f.form, cast(f.form_n as bigint) as form_n, c.root
+    from forms f join chain c on c.word = f.word and c.next is null"""

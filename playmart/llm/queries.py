@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.llm import (
-    bfd_packing, chat, decontam, langid, order_minhash, ordinal_quality, pii, prefix_trie, retrieval_packing, simhash, urls,
+    bfd_packing, chat, decontam, langid, order_minhash, ordinal_quality, pii, prefix_trie, retrieval_packing, simhash, spelling, urls,
 )
-from playmart.llm.oracles import PREFIX_TRIE
+from playmart.llm.oracles import PREFIX_TRIE, SPELLING
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
@@ -31,6 +31,7 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
                cast(sum(length('<|turn|>' || shown_role || '<|text|>' || chr(10) || shown || '<|end|>' || chr(10))) as bigint) as formatted_chars
         from told group by conv_id""",
+    "op11_spelling_variants": SPELLING,
     "op13_prefix_trie": PREFIX_TRIE,
 }
 
@@ -134,6 +135,11 @@ def op10_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined("spans").alias("spans"))
 
 
+@_query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.word_counts(_read(spark, sf_dir, "documents"), alter=spelling.drop_one))
+
+
 @_query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build_trie(*prefix_trie.rebuilt_turns(_read(spark, sf_dir, "conversations")))
