@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.llm import (
-    bfd_packing, chat, decontam, langid, order_minhash, ordinal_quality, pii, prefix_trie, retrieval_packing, simhash, spelling, urls,
+    attention_lm, bfd_packing, chat, decontam, langid, order_minhash, ordinal_quality, pii, prefix_trie, retrieval_packing, simhash, spelling, urls,
 )
 from playmart.llm.oracles import PREFIX_TRIE, SPELLING
 
@@ -140,6 +140,13 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variant_groups(spelling.word_counts(_read(spark, sf_dir, "documents"), alter=spelling.drop_one))
 
 
+@_query
+def op12_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2, F.lit(False))
+    return attention_lm.score(docs, ~held_out).withColumn("held_out", held_out)
+
+
 @_query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.build_trie(*prefix_trie.rebuilt_turns(_read(spark, sf_dir, "conversations")))
