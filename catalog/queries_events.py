@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import oracle as o
@@ -12,10 +14,12 @@ from playmart.functions.periods import period_start
 from playmart.operators.ordered import (
     dense_surrogate, keep_first, latest_observation, ranked, split_scan,
 )
+from playmart.operators.version_store import VersionStore
 from playmart.operators.versions import overlapping_versions, version_starts, with_epoch
 from playmart.plans import star
 from playmart.plans.events import coverage_windows, dedupe_play_events, union_play_events
 from playmart.plans.timeseries import with_coverage
+from playmart.session import pinned, shared_dir
 from playmart.sources import staging
 
 
@@ -388,12 +392,15 @@ v AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_orderdate, row_number() OVE
   FROM c WHERE prev IS NULL OR prev <> o_orderstatus WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))"""
 
 
-def _versions(spark, d):
-    obs = table(spark, d, "orders").select(
+def _observed(spark, d):
+    return table(spark, d, "orders").select(
         "o_custkey", "o_orderkey", utc("o_orderdate").alias("seen"), "o_orderstatus"
     )
+
+
+def _versions(spark, d):
     return with_epoch(
-        version_starts(obs, "o_custkey", ["seen", "o_orderkey"], "o_orderstatus",
+        version_starts(_observed(spark, d), "o_custkey", ["seen", "o_orderkey"], "o_orderstatus",
                        F.trunc("seen", "month")),
         "1990-01-01",
     )
@@ -409,6 +416,26 @@ def g4(spark, d):
     )
 
 
+@query("g4_incremental_versions", f"""WITH {_SCD} SELECT o_custkey, vn AS version_number, o_orderstatus,
+ CASE WHEN vn = 1 THEN '1990-01-01' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS valid_from,
+ strftime(vt, '%Y-%m-%d') AS valid_to, vt IS NULL AS is_current FROM v""")
+def g4_merged(spark, d):
+    """The same history from observations that come in three mixed shares, the second one twice."""
+    obs = _observed(spark, d)
+    store = VersionStore(spark, f"{shared_dir(spark)}/versions-{uuid.uuid4().hex}", obs.schema, "o_custkey",
+                         ["seen", "o_orderkey"], "o_orderstatus")
+    table = None
+    for number, share in enumerate((1, 0, 0, 2)):
+        new = obs.filter(F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == share)
+        store.merge(new, number)
+        table = store.versions(number) if table is None else store.refreshed(table, new.select("o_custkey").distinct(), number)
+        # a table of its own each time, as a warehouse would hold it
+        table = pinned(table)
+    return with_epoch(table, "1990-01-01").select(
+        "o_custkey", "version_number", "o_orderstatus", day("valid_from"), day("valid_to"), "is_current",
+    )
+
+
 @query("g5_dim_playlist", f"""WITH {_PLQ}, h AS (SELECT *, lag(total) OVER (PARTITION BY s ORDER BY q) AS prev FROM plq),
  v AS (SELECT 'pl' || s AS playlist_id, q, total, s % 2 = 0 AS own, lead(q) OVER (PARTITION BY s ORDER BY q) AS vt FROM h WHERE prev IS NULL OR prev <> total)
  SELECT row_number() OVER (ORDER BY playlist_id, q) AS playlist_key, playlist_id, CAST(total AS BIGINT) AS track_total, own AS is_owned_by_profile,

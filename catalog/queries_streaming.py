@@ -14,6 +14,8 @@ from playmart.session import shared_dir
 from playmart.sources import staging
 from playmart.streaming import captures as cp
 from playmart.streaming import gaps as gp
+from playmart.streaming import marks as mk
+from playmart.streaming import merge as mg
 from playmart.streaming import pending as pd
 
 P = "profile_slug"
@@ -46,25 +48,37 @@ def r2(spark, d):
     return _gap_cols(gp.detect_gaps(w.polls(spark, d)))
 
 
-@query("r2_streaming_gaps", f"WITH {_POLLS} {_GAPSEL}")
-def r2_stream(spark, d):
-    """The captures landed as files and read as a stream of several micro-batches, each with the
-    marks of the one before; the gaps are read back from its sink."""
+_LANDED = ("profile_slug string, batch bigint, oldest timestamp, newest timestamp, "
+           "items_returned bigint, captured_at timestamp")
+
+
+def _gap_run(spark, d, start):
+    """Four stretches of every profile's polls, landed one after the other as many files each; after
+    every one the stream is started again from its checkpoint and takes what is new."""
     base = f"{shared_dir(spark)}/gap-stream-{uuid.uuid4().hex}"
     polls = w.polls(spark, d)
-    for part in ("< 1", "= 1", "= 2", "> 2"):  # a file, and so a micro-batch, per stretch of every profile's polls
-        share = polls.filter(f"batch div 10 {part}")
-        share.coalesce(1).write.mode("append").parquet(f"{base}/captures")
-    landed = spark.readStream.schema(
-        "profile_slug string, batch bigint, oldest timestamp, newest timestamp, "
-        "items_returned bigint, captured_at timestamp"
-    ).option("maxFilesPerTrigger", 1).parquet(f"{base}/captures")
-    gp.start_gap_stream(
-        landed, f"{base}/gaps", f"{base}/marks", f"{base}/checkpoint"
-    ).awaitTermination()
+    for part in ("< 1", "= 1", "= 2", "> 2"):
+        polls.filter(f"batch div 10 {part}").write.mode("append").parquet(f"{base}/captures")
+        start(spark.readStream.schema(_LANDED).parquet(f"{base}/captures"), base).awaitTermination()
+    return base
+
+
+@query("r2_streaming_gaps", f"WITH {_POLLS} {_GAPSEL}")
+def r2_stream(spark, d):
+    """Micro-batches that hand on their marks as files; the gaps are read back from the sink."""
+    base = _gap_run(spark, d, lambda landed, base: gp.start_gap_stream(
+        landed, f"{base}/gaps", f"{base}/marks", f"{base}/checkpoint"))
     return _gap_cols(spark.read.parquet(f"{base}/gaps/{gp.run_of(f'{base}/checkpoint')}"))
 
 
+@query("r2_stateful_gaps", f"WITH {_POLLS} {_GAPSEL}")
+def r2_state(spark, d):
+    """The marks kept in the state store, recovered at every start."""
+    base = _gap_run(spark, d, lambda landed, base: mk.start_stateful_gaps(
+        landed, f"{base}/gaps", f"{base}/checkpoint"))
+    return _gap_cols(spark.read.schema(mk.GAPS).parquet(f"{base}/gaps"))
+
+
 @query("r3_poll_status", """WITH p AS (SELECT o_orderkey AS id, 'p' || (o_custkey % 5) AS profile_slug, o_orderdate + INTERVAL 2 SECOND AS f, CASE WHEN o_orderstatus = 'F' THEN 'error' ELSE 'ok' END AS s FROM orders)
  SELECT profile_slug, strftime(max(f), '%Y-%m-%d %H:%M:%S') AS last_poll_at, arg_max(s, (f, id)) AS last_poll_status, strftime(max(f) FILTER (s = 'ok'), '%Y-%m-%d %H:%M:%S') AS last_ok_at, count(*) FILTER (f >= TIMESTAMP '1998-06-01') AS polls_24h,
  count(*) FILTER (f >= TIMESTAMP '1998-06-01' AND s = 'error') AS errors_24h, count(*) FILTER (s = 'error') AS gap_count FROM p GROUP BY 1""")
@@ -175,9 +189,26 @@ def r7(spark, d):
     base = f"{shared_dir(spark)}/capture-stream-{uuid.uuid4().hex}"
     pages = w.captured_pages(spark, d)
     for part in (2, 0, 1):  # the same page again, and pages later than those of other profiles
-        pages.filter(f"pmod(id, 3) in ({part}, 2)").coalesce(1).write.mode("append").parquet(f"{base}/landed")
-    items = staging.recently_played(cp.landed_responses(spark, f"{base}/landed", 1))
-    cp.start_capture_dedupe(items, f"{base}/kept", f"{base}/checkpoint").awaitTermination()
+        pages.filter(f"pmod(id, 3) in ({part}, 2)").write.mode("append").parquet(f"{base}/landed")
+        items = staging.recently_played(cp.landed_responses(spark, f"{base}/landed"))
+        cp.start_capture_dedupe(items, f"{base}/kept", f"{base}/checkpoint").awaitTermination()
     return cp.captured_plays(spark, f"{base}/kept").select(
         P, "content_uri", stamp("minute"), stamp("ingested_at"), "raw_response_id", "item_ordinal"
     )
+
+
+@query("r7_merge_late_exports", f"""WITH {o.EVENTS} SELECT profile_slug, content_uri,
+ strftime(ended, '%Y-%m-%d %H:%M:%S') AS ended_at, source_system, raw_id AS raw_response_id, CAST(ms AS BIGINT) AS ms_played FROM dd""")
+def r7_exports(spark, d):
+    """Captured plays first, in two stretches that overlap; then the exports, after all of them; then
+    the first stretch once more. Merged by profile and month, the store equals one dedupe of everything."""
+    base = f"{shared_dir(spark)}/play-merge-{uuid.uuid4().hex}"
+    plays = w.event_plays(spark, d)
+    first = "source_system = 'api' and pmod(raw_response_id, 3) < 2"
+    for share in (first, "source_system = 'api' and pmod(raw_response_id, 3) > 0", "source_system = 'export'", first):
+        plays.filter(share).write.mode("append").parquet(f"{base}/landed")
+        landed = spark.readStream.schema(plays.schema).parquet(f"{base}/landed")
+        mg.start_play_merge(landed, f"{base}/plays", f"{base}/checkpoint").awaitTermination()
+    return mg.merged_plays(spark, f"{base}/plays", plays.schema).select(
+        P, "content_uri", stamp("ended_at_utc", "ended_at"), "source_system", "raw_response_id", "ms_played"
+    )

@@ -126,3 +126,46 @@ def test_pair_overlaps_only_forms_asked_pairs(rows):
     got = {r["right_id"]: (r["left_size"], r["right_size"], r["overlap"])
            for r in pair_overlaps(members, "who", ["k"], pairs).collect()}
     assert got == {"y": (2, 2, 1), "z": (2, 1, 0)}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_merged_history_equals_the_rebuild(spark, rows, tmp_path, seed):
+    """Any split of the observations, in any order of arrival, some of them twice."""
+    import random
+
+    from playmart.operators.version_store import VersionStore
+
+    rng = random.Random(seed)
+    obs = [(f"k{rng.randrange(4)}", f"2024-{rng.randint(1, 5):02d}-{rng.randint(1, 28):02d} 10:00:00", n, rng.choice("AAB") if n % 9 else None)
+           for n in range(120)]
+    ddl = "k string, seen timestamp, id bigint, sig string"
+    whole = rows(obs, ddl)
+    store = VersionStore(spark, str(tmp_path), whole.schema, "k", ["seen", "id"], "sig")
+    rng.shuffle(obs)
+    shares = [obs[:10], obs[10:70], obs[60:80], obs[80:]]
+    table, columns = None, ["k", "seen", "id", "sig", "valid_from", "valid_to", "version_number"]
+    for n, share in enumerate(shares):
+        new = rows(share, ddl)
+        store.merge(new, n)
+        if table is None:
+            table = store.versions(n)
+        else:
+            table = store.refreshed(table, new.select("k").distinct(), n)
+        table = spark.createDataFrame(table.collect(), table.schema)
+    want = version_starts(whole, "k", ["seen", "id"], "sig", F.trunc("seen", "month"))
+    key = lambda r: (r[0], r[1])
+    assert sorted(map(tuple, table.select(*columns).collect()), key=key) == sorted(map(tuple, want.select(*columns).collect()), key=key)
+    assert sorted(map(tuple, store.versions(3).select(*columns).collect()), key=key) == sorted(map(tuple, want.select(*columns).collect()), key=key)
+
+
+def test_a_merge_reads_and_writes_touched_months_only(spark, rows, tmp_path):
+    from playmart.operators.version_store import VersionStore
+
+    ddl = "k string, seen timestamp, id bigint, sig string"
+    first = rows([("a", f"2024-{m:02d}-01 00:00:00", m, "A") for m in range(1, 7)], ddl)
+    store = VersionStore(spark, str(tmp_path), first.schema, "k", ["seen", "id"], "sig")
+    store.merge(first, 0)
+    store.merge(rows([("a", "2024-03-15 00:00:00", 99, "B")], ddl), 1)
+    assert [p.name for p in (tmp_path / "observations" / "data" / "gen=1").glob("chunk=*")] == ["chunk=2024-03"]
+    got = [(f"{r.valid_from:%m-%d}", r.sig, r.valid_to and f"{r.valid_to:%m-%d}") for r in store.versions(1).orderBy("version_number").collect()]
+    assert got == [("01-01", "A", "03-15"), ("03-15", "B", "04-01"), ("04-01", "A", None)]
