@@ -289,17 +289,21 @@ def l17(spark, d):
     return pr.payload_key_schema(_props(spark, d))
 
 
-@query("l18_describe_shape", """WITH n AS (SELECT count(*) AS n, count(*) FILTER (event_id % 3 = 0) AS texts, count(*) FILTER (event_id % 4 = 0) AS nulls, count(*) FILTER (event_id % 4 = 1) AS notes FROM events)
- SELECT v.path, v.types FROM n, LATERAL (VALUES ('$', 'object'), ('$.k', concat_ws('|', CASE WHEN texts < n THEN 'number' END, CASE WHEN texts > 0 THEN 'string' END)),
-  ('$.note', concat_ws('|', CASE WHEN nulls > 0 THEN 'null' END, CASE WHEN notes > 0 THEN 'string' END)), ('$.tags', 'array'), ('$.tags[]', 'object'), ('$.tags[].name', 'number|string'), ('$.owner', 'object'), ('$.owner.id', 'string')) v(path, types) WHERE n > 0""")
+@query("l18_describe_shape", """WITH d AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'string' ELSE 'number' END AS k,
+  CASE event_id % 4 WHEN 0 THEN 'null' WHEN 1 THEN 'string' END AS note FROM events),
+ p AS (SELECT '$' AS path, 'object' AS kind FROM d UNION SELECT '$.k', k FROM d UNION SELECT '$.note', note FROM d WHERE note IS NOT NULL
+  UNION SELECT '$.tags', 'array' FROM d UNION SELECT '$.tags[]', 'object' FROM d UNION SELECT '$.tags[].name', unnest(['string', 'number']) FROM d
+  UNION SELECT '$.owner', 'object' FROM d UNION SELECT '$.owner.id', 'string' FROM d)
+ SELECT path, string_agg(kind, '|' ORDER BY kind) AS types FROM p GROUP BY 1""")
 def l18(spark, d):
     return pr.describe_shape(_props(spark, d))
 
 
-@query("l19_schema_frame", """SELECT 'k' AS field, 'number|string' AS types, count(*) AS present, 0.0 AS null_rate, 'yes' AS documented, TRUE AS on_every_record FROM events
- UNION ALL SELECT 'note', 'null|string', count(*) FILTER (event_id % 4 <= 1), round(1 - count(*) FILTER (event_id % 4 = 1) * 1.0 / count(*), 4), 'yes', FALSE FROM events
- UNION ALL SELECT 'tags', 'array', count(*), 0.0, 'no', TRUE FROM events UNION ALL SELECT 'owner', 'object', count(*), 0.0, 'no', TRUE FROM events UNION ALL SELECT 'owner.id', 'string', count(*), 0.0, 'no', TRUE FROM events
- UNION ALL SELECT 'popularity', 'ABSENT', 0, 1.0, 'yes', FALSE UNION ALL SELECT 'genres', 'ABSENT', 0, 1.0, 'yes (conditional)', FALSE""")
+@query("l19_schema_frame", """WITH e AS (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
+ SELECT 'k' AS field, 'number|string' AS types, count(*) AS present, 0.0 AS null_rate, 'yes' AS documented, TRUE AS on_every_record, min(k) AS example FROM e
+ UNION ALL SELECT 'note', 'null|string', count(*) FILTER (event_id % 4 <= 1), round(1 - count(*) FILTER (event_id % 4 = 1) * 1.0 / count(*), 4), 'yes', FALSE, min(CASE WHEN event_id % 4 = 1 THEN 'x' END) FROM e
+ UNION ALL SELECT 'tags', 'array', count(*), 0.0, 'no', TRUE, NULL FROM e UNION ALL SELECT 'owner', 'object', count(*), 0.0, 'no', TRUE, NULL FROM e UNION ALL SELECT 'owner.id', 'string', count(*), 0.0, 'no', TRUE, '<redacted>' FROM e
+ UNION ALL SELECT 'popularity', 'ABSENT', 0, 1.0, 'yes', FALSE, NULL UNION ALL SELECT 'genres', 'ABSENT', 0, 1.0, 'yes (conditional)', FALSE, NULL""")
 def l19(spark, d):
     return pr.schema_frame(_props(spark, d), ["k", "note", "popularity", "genres"], conditional=["genres"])
 
@@ -380,6 +384,13 @@ ALL_TABLES = ("benchmark", "conversations", "customer", "documents", "embeddings
               "nation", "orders", "pages", "part", "region", "supplier")
 
 
+@query("l26_table_columns", " UNION ALL ".join(
+    f"SELECT '{t}' AS name, count(*) AS columns, string_agg(column_name, ', ' ORDER BY ordinal_position) AS fields FROM information_schema.columns WHERE table_name = '{t}'" for t in ALL_TABLES))
+def l26_columns(spark, d):
+    return pr.table_catalog(spark, {t: table(spark, d, t) for t in ALL_TABLES}).select(
+        "name", F.col("columns").cast("bigint").alias("columns"), "fields")
+
+
 @query("l26_table_catalog", " UNION ALL ".join(
     f"SELECT '{t}' AS name, count(*) AS rows FROM {t}" for t in ALL_TABLES))
 def l26(spark, d):
@@ -566,6 +577,47 @@ def g14_both(spark, d):
     )
 
 
+_ALB = """alb AS (SELECT row_number() OVER (ORDER BY album_id) AS album_key, album_id, 'Album ' || substr(album_id, 3) AS album_name,
+  (1990 + arg_max(part, CASE WHEN part % 4 = 0 THEN 1000 ELSE part % 28 END * 1000000000 + part) % 30) || '-01' AS release_date FROM (SELECT part, 'al' || (part % 200) AS album_id FROM cat WHERE is_resolved AND part % 10 > 1) GROUP BY 2)"""
+
+
+@query("g6_artists_both_feeds", f"""WITH {o.CATALOGUE}, {o.STAR}, {o.EVENTS}, pa AS (SELECT DISTINCT k FROM ev WHERE api AND k % 13 <> 0)
+ SELECT artist_id, artist_name, artist_uri, is_fetched, has_genres_key FROM arts
+ UNION ALL SELECT 'ev' || k % 40, 'Played ' || k % 40, 'media:artist:ev' || k % 40, FALSE, FALSE FROM pa GROUP BY ALL""")
+def g6_both(spark, d):
+    """Artists that only captured plays credit, beside those of lookups and their own."""
+    return content.artists_latest(
+        _credited_plays(spark, d), staging.track(w.raw_tracks(spark, d)), staging.artist(w.raw_artists(spark, d))
+    ).select("artist_id", "artist_name", "artist_uri", "is_fetched", "has_genres_key")
+
+
+def _credited_plays(spark, d):
+    """Captured plays whose tracks name an album and an artist by their number."""
+    plays = staging.recently_played(w.captured_pages(spark, d))
+    k = F.substring("content_uri", 14, 20).cast("int")
+    ident = F.concat(F.lit("ev"), w.text(k % 40))
+    artist = F.struct(ident.alias("id"), F.concat(F.lit("media:artist:"), ident).alias("uri"),
+                      F.concat(F.lit("Played "), w.text(k % 40)).alias("name"))
+    album = F.concat(F.lit("ea"), w.text(k % 30))
+    kinds = {f.name: f.dataType for f in plays.schema.fields}
+    return plays.withColumns({
+        "track_artists": F.array(artist).cast(kinds["track_artists"]), "album_id": album,
+        "album_uri": F.concat(F.lit("media:album:"), album),
+        "album_name": F.concat_ws(" ", F.lit("Taken from"), w.text("raw_response_id"), w.text("item_ordinal")),
+        "album_release_date": F.lit("2001"),
+    })
+
+
+@query("g16_dim_album_both_feeds", f"""WITH {o.CATALOGUE}, {_ALB}, {o.EVENTS}, pg AS (SELECT *, event_id // 2000 * 100000000 + user_id AS page,
+  row_number() OVER (PARTITION BY event_id // 2000, user_id ORDER BY event_id) AS ordinal, max(ts) OVER (PARTITION BY event_id // 2000, user_id) AS ingested FROM ev WHERE api),
+ pl_ AS (SELECT 'ea' || k % 30 AS album_id, 'Taken from ' || page || ' ' || ordinal AS album_name, row_number() OVER (PARTITION BY k % 30 ORDER BY ingested DESC, ts DESC, page DESC, ordinal) AS rn FROM pg WHERE k % 13 <> 0)
+ SELECT album_id, album_name, release_date FROM alb UNION ALL SELECT album_id, album_name, '2001' FROM pl_ WHERE rn = 1 UNION ALL SELECT '(unknown)', 'Unknown album', NULL""")
+def g16_both(spark, d):
+    """Albums of both feeds, the newest capture of each."""
+    both = content.albums_latest(_credited_plays(spark, d), staging.track(w.raw_tracks(spark, d)))
+    return star.dim_album(both).select("album_id", "album_name", "release_date")
+
+
 _DC = f"""{o.HIST}, {o.CATALOGUE}, seen AS (SELECT content_uri, min(ended) AS f, max(ended) AS l FROM hist GROUP BY 1),
 dc AS (SELECT row_number() OVER (ORDER BY f ASC NULLS LAST, content_uri) AS content_key, * FROM (
  SELECT c.content_uri, c.content_type, is_resolved AND part % 10 > 1 AS is_resolved, f, l,
@@ -624,10 +676,6 @@ def _dim_album(spark, d):
     ))
 
 
-_ALB = """alb AS (SELECT row_number() OVER (ORDER BY album_id) AS album_key, album_id, 'Album ' || substr(album_id, 3) AS album_name,
-  (1990 + arg_max(part, CASE WHEN part % 4 = 0 THEN 1000 ELSE part % 28 END * 1000000000 + part) % 30) || '-01' AS release_date FROM (SELECT part, 'al' || (part % 200) AS album_id FROM cat WHERE is_resolved AND part % 10 > 1) GROUP BY 2)"""
-
-
 @query("g16_dim_album", f"""WITH {o.CATALOGUE}, {_ALB} SELECT * FROM alb UNION ALL SELECT -1, '(unknown)', 'Unknown album', NULL""")
 def g16(spark, d):
     return _dim_album(spark, d).select("album_key", "album_id", "album_name", "release_date")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import oracle as o
@@ -12,6 +14,8 @@ from playmart.functions.periods import grain_for
 from playmart.plans import allocation as al
 from playmart.plans import listening as li
 from playmart.plans import timeseries as ts
+from playmart.plans.stored import StoredStar, genre_months
+from playmart.session import shared_dir
 
 P = "profile_slug"
 
@@ -578,3 +582,20 @@ def k12(spark, d):
 def k13(spark, d):
     tagged = li.drilldown_periods(w.bucket_allocation(spark, d), w.windows(spark, d))
     return li.sunburst_nodes(tagged).withColumn("value", r("value", 7))
+
+
+@query("g21_bucketed_star", f"""WITH {o.PLAYS}, {o.STAR} SELECT profile_slug, CAST(month_start AS VARCHAR) AS month_start, bucket_name, CAST(sum(play_rows) AS BIGINT) AS play_rows,
+ round(sum(allocated_plays), 4) AS allocated_plays, round(sum(allocated_ms), 2) AS allocated_ms FROM alloc GROUP BY 1, 2, 3""")
+def g21_bucketed(spark, d):
+    """Time and plays per genre bucket from stored tables; one year is stored late, by its months."""
+    name = uuid.uuid4().hex
+    star = StoredStar(spark, f"{shared_dir(spark)}/star-{name}", f"star_{name}", 16)
+    fact = w.fact(spark, d)
+    late = F.floor(F.col("date_key") / 10_000) == 1995
+    star.store(fact.filter(~late), w.catalogue(spark, d), w.br_content_artist(spark, d),
+               br_artist_genre=w.br_artist_genre(spark, d), genre_bucket_map=w.bucket_map(spark, d))
+    star.refresh_months(fact.filter(late))
+    month = F.make_date(F.floor(F.col("month_key") / 100).cast("int"), F.col("month_key") % 100, F.lit(1))
+    return genre_months(star, "genre").join(w.profiles(spark).select("profile_key", "profile_slug"), "profile_key").select(
+        "profile_slug", F.date_format(month, "yyyy-MM-dd").alias("month_start"), "bucket_name", "play_rows",
+        r("allocated_plays"), r("allocated_ms", 2))

@@ -71,6 +71,21 @@ def p1_own(spark, d):
     )
 
 
+@query("p1_membership_codes", f"""WITH {o.CATALOGUE}, {o.MEMBERS}, pk AS (SELECT row_number() OVER (ORDER BY playlist_id) AS k, playlist_id FROM (SELECT DISTINCT playlist_id FROM item)),
+ det AS (SELECT part, CASE WHEN part % 17 <> 0 THEN CASE WHEN part % 2 = 0 THEN 'USABC' ELSE 'US-ABC-' END || lpad(CAST(part % 10000000 AS VARCHAR), 7, '0') END AS code FROM cat WHERE is_resolved AND part % 10 > 1)
+ SELECT playlist_id AS playlist_name, content_uri, coalesce(CASE WHEN mem.part % 4 <> 1 THEN isrc END, CASE WHEN mem.part % 9 <> 0 THEN code END) AS isrc, content_match_key FROM mem JOIN pk USING (playlist_id) LEFT JOIN det ON det.part = mem.part
+ WHERE snapshot_date = (SELECT max(snapshot_date) FROM mem) AND k % 10 <> 0""")
+def p1_codes(spark, d):
+    """Entries without a code of their own take it from the track's details."""
+    lists = current_playlists(spark, d).withColumn("playlist_name", F.col("playlist_id"))
+    known = w.catalogue(spark, d).withColumn("content_match_key", F.lit(None).cast("string"))
+    details = star.dim_track_detail(w.tracks(spark, d), w.catalogue(spark, d), _dim_album(spark, d))
+    part = F.regexp_extract("content_uri", "[0-9]+$", 0).cast("long")
+    facts = fct_membership(spark, d).withColumn("isrc", F.when(part % 4 != 1, F.col("isrc")))
+    return pl.load_membership(facts, lists, known, details).select(
+        "playlist_name", "content_uri", "isrc", "content_match_key")
+
+
 @query("p2_misses", f"""WITH {_SIDES} SELECT playlist_id, content_uri, isrc FROM lt WHERE playlist_id = 'pl7' AND NOT EXISTS
  (SELECT 1 FROM rt WHERE rt.playlist_id = 'pl8' AND rt.isrc = lt.isrc)""")
 def p2(spark, d):
@@ -365,6 +380,26 @@ def q7_columns(spark, d):
     return found.filter((F.col("source") != "") & (F.col("source") != pb.DERIVED)).select("file", "column", "included")
 
 
+def _filled(table, extract, columns):
+    return " UNION ALL ".join(
+        f"SELECT '{extract}.csv' AS file, '{name}' AS \"column\", 'yes' AS included, '{pb.SOURCES[name]}' AS source, '{pb.NOTES.get(name, '').replace(chr(39), chr(39) * 2)}' AS note, count(*) AS rows, count({sql}) AS filled FROM {table}"
+        for name, sql in columns.items())
+
+
+@query("q7_manifest_of_files", f"""WITH {_PUB}, {_GEN}, ar AS (SELECT profile_slug, yr, coalesce(artist_name, '(unidentified)') AS artist_name, artist_key IS NOT NULL AS known, count(*) AS plays, count(*) FILTER (qualified) AS q, sum(ms) AS ms, count(ms) AS timed
+  FROM pu LEFT JOIN da USING (artist_key) WHERE content_type = 'track' GROUP BY 1, 2, 3, 4) """ + _filled("ar", "artists", {
+    "profile_slug": "profile_slug", "year": "yr", "artist_name": "artist_name", "is_identified": "known", "plays": "plays",
+    "qualified_plays": "q", "hours": "ms", "rows_with_duration": "timed"}) + " UNION ALL " + _filled("ge", "genres", {
+    "profile_slug": "profile_slug", "month_start": "month_start", "bucket_name": "bucket_name", "allocated_plays": "ap", "allocated_ms": "am",
+    "share_of_music_ms": "am / nullif((SELECT sum(x.am) FROM ge x WHERE x.profile_slug = ge.profile_slug AND x.month_start = ge.month_start), 0)"})
+    + " UNION ALL SELECT '(all)', field, 'NO', source, why, NULL, NULL FROM (VALUES " + ", ".join(
+        "('" + "', '".join(x.replace("'", "''") for x in row) + "')" for row in pb.EXCLUDED) + ") v(field, source, why)")
+def q7_files(spark, d):
+    """Every column of two extracts as their files hold it: source, note, rows and how many are filled."""
+    some = {k: v for k, v in _extracts(spark, d).items() if k in ("artists", "genres")}
+    return pb.written_manifest(some, f"{shared_dir(spark)}/manifest-{uuid.uuid4().hex}")
+
+
 @query("c8_incognito_anti_join", f"""WITH {_PUB} SELECT profile_slug, count(*) AS published FROM pu GROUP BY 1""")
 def c8(spark, d):
     return published(spark, d).groupBy(P).agg(F.count(F.lit(1)).alias("published"))

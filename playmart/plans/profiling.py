@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +22,10 @@ from playmart.session import small_table
 # --- Redaction ------------------------------------------------------------------------------------
 
 
+# Paths a task keeps before it hands them on.
+PATHS = 50_000
+
+
 def names_person(column: str) -> bool:
     return any(step in PERSON_FIELDS for step in column.split("."))
 
@@ -152,107 +160,124 @@ def _kind(schema: Column) -> Column:
     )
 
 
-def payload_keys(df: DataFrame, payload: str = "payload", nested: bool = False) -> DataFrame:
-    """One row per key of every payload: key and JSON type, values left behind.
+def _must_redact_key(key: Column) -> Column:
+    """`must_redact` for key names that are data."""
+    steps = F.split(key, r"\.")
+    named = F.arrays_overlap(steps, F.array(*map(F.lit, [*PERSON_FIELDS, *HIDDEN_VALUE_FIELDS])))
+    ends = reduce(or_, [key.endswith(x) for x in IDENTIFIER_SUFFIXES], F.lit(False))
+    return named | ends | key.isin(*IDENTIFIER_FIELDS)
+
+
+def payload_keys(
+    df: DataFrame, payload: str = "payload", nested: bool = False, examples: bool = False
+) -> DataFrame:
+    """One row per key of every payload: key and JSON type; with `examples` the text of a single value too.
 
-    With `nested`, the keys inside an object-valued key follow as `parent.child`.
+    Objects and arrays show no value, and a key that names or could identify somebody a mask. With
+    `nested`, the keys inside an object-valued key follow as `parent.child`.
     """
+    def shown(name: Column, kind: Column, value: Column) -> Column:
+        if not examples:
+            return F.lit(None).cast("string")
+        single = F.when(kind.isin("string", "number", "boolean"), F.try_variant_get(value, F.lit("$"), "string"))
+        return F.when(single.isNotNull() & _must_redact_key(name), F.lit(REDACTED)).otherwise(single)
+
     pairs = F.from_json(F.col(payload), "map<string,variant>")
     top = df.select(F.explode(pairs).alias("key", "value")).withColumn(
         "kind", _kind(F.schema_of_variant("value"))
     )
     if not nested:
-        return top.select("key", "kind")
+        return top.select("key", "kind", shown(F.col("key"), F.col("kind"), F.col("value")).alias("value"))
     inner = F.when(
         F.col("kind") == "object",
         F.map_entries(F.try_variant_get("value", F.lit("$"), "map<string,variant>")),
     )
-    own = F.struct(F.col("key").alias("key"), F.col("kind").alias("kind"))
+    own = F.struct(F.col("key").alias("key"), F.col("kind").alias("kind"), shown(F.col("key"), F.col("kind"), F.col("value")).alias("value"))
     below = F.transform(
         F.coalesce(inner, F.expr("cast(array() as array<struct<key:string,value:variant>>)")),
         lambda e: F.struct(
             F.concat(F.col("key"), F.lit("."), e["key"]).alias("key"),
             _kind(F.schema_of_variant(e["value"])).alias("kind"),
+            shown(F.concat(F.col("key"), F.lit("."), e["key"]), _kind(F.schema_of_variant(e["value"])), e["value"]).alias("value"),
         ),
     )
     return top.select(F.explode(F.concat(F.array(own), below)).alias("k")).select("k.*")
 
 
 def payload_key_schema(
-    df: DataFrame, payload: str = "payload", nested: bool = False
+    df: DataFrame, payload: str = "payload", nested: bool = False, examples: bool = False
 ) -> DataFrame:
-    """Per key: the types seen, how many payloads carry a value, and the share that do."""
+    """Per key: the types seen, how many payloads carry a value, and the share that do; one example if asked."""
     total = df.agg(F.count(F.lit(1))).scalar()
-    pairs = payload_keys(df, payload, nested).groupBy("key", "kind").agg(
-        F.count(F.lit(1)).alias("n")
+    pairs = payload_keys(df, payload, nested, examples).groupBy("key", "kind").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("value")
     )
     # six JSON types exist, so the set per key is of fixed size
-    return pairs.groupBy("key").agg(
+    found = pairs.groupBy("key").agg(
         F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("types"),
         F.sum("n").alias("present"),
         F.coalesce(F.sum(F.when(F.col("kind") != "null", F.col("n"))), F.lit(0)).alias("non_null"),
+        F.min("value").alias("example"),
     ).withColumn("non_null_share", F.round(F.col("non_null") / total, 4))
-
-
-def nesting_depth(payload: Column) -> Column:
-    """How deep the brackets of a JSON text go, string contents aside."""
-    bare = F.regexp_replace(payload, r'"(?:[^"\\]|\\.)*"', "")
-    marks = F.split(F.regexp_replace(bare, r"[^\[\]{}]", ""), "")
-    step = lambda m: F.when(m.isin("{", "["), 1).when(m.isin("}", "]"), -1).otherwise(0)
-    deepest = F.aggregate(
-        marks,
-        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
-        lambda acc, m: F.struct(
-            (acc["now"] + step(m)).alias("now"),
-            F.greatest(acc["most"], acc["now"] + step(m)).alias("most"),
-        ),
-    )
-    return deepest["most"]
+    return found if examples else found.drop("example")
+
+
+def _shape(text: str | None) -> set[tuple[str, str | None]]:
+    """(path, JSON type) of everything in one document, without recursion into its values."""
+    if text is None:
+        return {("$", None)}
+    found, left = set(), [("$", json.loads(text))]
+    while left:
+        path, node = left.pop()
+        if isinstance(node, dict):
+            kind = "object"
+            left += [(f"{path}.{k}", v) for k, v in node.items()]
+        elif isinstance(node, list):
+            kind = "array"
+            left += [(f"{path}[]", v) for v in node]
+        else:
+            kind = {str: "string", bool: "boolean", type(None): "null"}.get(type(node), "number")
+        found.add((path, kind))
+    return found
 
 
 def describe_shape(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """Every key path and the JSON types seen there, never values.
+    """Every key path and the JSON types seen there, never values; one scan, whatever the depth.
 
-    The depth is measured first (one number), then each level replaces its objects and arrays by
-    their children in one narrow pass.
+    A task keeps the paths it has seen, hands them on when there are many, and they are merged by path.
     """
-    depth = df.agg(F.max(nesting_depth(F.col(payload))).alias("depth")).first()["depth"] or 0
-    level = df.select(F.lit("$").alias("path"), F.parse_json(payload).alias("node"))
-    every = None
-    for step in range(depth + 1):
-        typed = level.withColumn("kind", _kind(F.schema_of_variant("node")))
-        found = typed.select("path", "kind").distinct()
-        every = found if every is None else every.unionByName(found)
-        if step == depth:
-            break
-        fields = F.transform(
-            F.map_entries(F.try_variant_get("node", F.lit("$"), "map<string,variant>")),
-            lambda e: F.struct(F.lit(".").alias("sep"), e["key"].alias("key"), e["value"].alias("node")),
-        )
-        items = F.transform(
-            F.try_variant_get("node", F.lit("$"), "array<variant>"),
-            lambda v: F.struct(F.lit("[]").alias("sep"), F.lit("").alias("key"), v.alias("node")),
-        )
-        children = F.when(F.col("kind") == "object", fields).when(F.col("kind") == "array", items)
-        level = typed.select("path", F.explode(children).alias("c")).select(
-            F.concat("path", "c.sep", "c.key").alias("path"), F.col("c.node").alias("node")
-        )
-    return every.groupBy("path").agg(
+
+    def run(batches):
+        seen: set = set()
+
+        def out():
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in seen], pa.string()), pa.array([x[1] for x in seen], pa.string())], names=["path", "kind"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                seen |= _shape(text)
+                if len(seen) > PATHS:
+                    yield out()
+                    seen.clear()
+        yield out()
+
+    return df.select(F.col(payload).cast("string")).mapInArrow(run, "path string, kind string").groupBy("path").agg(
         F.array_join(F.array_sort(F.collect_set("kind")), "|").alias("types")
     )
 
 
 def schema_frame(records: DataFrame, documented: Sequence[str], payload: str = "payload",
                  conditional: Sequence[str] = ()) -> DataFrame:
-    """Presence, null rate and types per field and sub-field, beside what the documentation promises.
+    """Presence, null rate, types and an example per field and sub-field, beside what the documentation promises.
 
     The null rate is over all records: a field that half of them lack is null there. A documented
     field no record carries is a row of its own, typed ABSENT; a sub-field is documented when its
     parent is.
     """
     total = records.agg(F.count(F.lit(1))).scalar()
-    seen = payload_key_schema(records, payload, nested=True).select(
-        F.col("key").alias("field"), "types", "present", "non_null",
+    seen = payload_key_schema(records, payload, nested=True, examples=True).select(
+        F.col("key").alias("field"), "types", "present", "non_null", "example",
         F.substring_index("key", ".", 1).alias("name"),
     )
     promised = small_table(
@@ -266,7 +291,7 @@ def schema_frame(records: DataFrame, documented: Sequence[str], payload: str = "
         F.round(1 - F.coalesce("non_null", F.lit(0)) / F.nullif(F.lit(total), F.lit(0)), 4).alias("null_rate"),
         F.when(F.col("types").isNull() & F.col("conditional"), "yes (conditional)")
         .when(F.col("conditional").isNotNull(), "yes").otherwise("no").alias("documented"),
-        (F.coalesce("present", F.lit(0)) == total).alias("on_every_record"),
+        (F.coalesce("present", F.lit(0)) == total).alias("on_every_record"), "example",
     )
 
 

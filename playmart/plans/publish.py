@@ -226,3 +226,19 @@ def manifest(spark: SparkSession, extracts: dict[str, DataFrame]) -> DataFrame:
     return small_table(
         spark, rows, "file string, column string, included string, source string, note string"
     )
+
+
+def written_manifest(extracts: dict[str, DataFrame], folder: str) -> DataFrame:
+    """The manifest of extracts written below `folder`, with the rows of each file and the filled ones of
+    each column, counted in the files in one pass each. Fields left out have no counts."""
+    counts = None
+    for name, df in extracts.items():
+        path = f"{folder}/{name}"
+        write_extract(df, path)
+        back = df.sparkSession.read.schema(df.schema).csv(path, header=True)
+        told = F.array(*[F.struct(F.lit(f"{name}.csv").alias("file"), F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"),
+                                  F.count(F.col(c)).alias("filled")) for c in back.columns])
+        one = back.agg(told.alias("t")).select(F.explode("t").alias("t")).select("t.*")
+        counts = one if counts is None else counts.unionByName(one)
+    whole = manifest(next(iter(extracts.values())).sparkSession, extracts)
+    return whole.join(counts, ["file", "column"], "left")
