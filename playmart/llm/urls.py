@@ -16,7 +16,8 @@ from playmart.llm.common import Stored, join_counted, stored
 from playmart.session import small_table
 
 DAMPING = 0.85
-ROUNDS = 40
+# What all scores together still move falls by the damping every round: this many settle 10**10 hosts.
+ROUNDS = 200
 # Rounds end when no host's score moves by more than this.
 STILL = 1e-3
 # A host is blocked if its distrust reaches this and exceeds its trust: what a host gets that links to
@@ -83,7 +84,9 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
 
     seeds: host, trusted, blocked (shares from 0 to 1). A score is (1 - damping) * seed + damping *
     what flows in; a host without links in the direction of the flow keeps its score, so none is lost.
-    Each round is one join and one aggregation over the edges, stored in the shared folder.
+    Each round is one join and one aggregation over the edges, stored in the shared folder. They end
+    when no score moves by more than `still`; scores that still move after `rounds` raise. With a
+    negative `still` all rounds are run.
     """
     nodes = seeds.select("host").union(edges.select("src")).union(edges.select("dst")).distinct()
     seeds = stored(
@@ -113,7 +116,9 @@ def propagate(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, roun
         now.drop()
         now = Stored(new.rows.select("host", "trust", "distrust"), new.path)
         if step is None or step <= still:
-            break
+            return now
+    if still >= 0:
+        raise RuntimeError(f"scores of hosts have not settled after {rounds} rounds")
     return now
 
 

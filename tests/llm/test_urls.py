@@ -82,3 +82,11 @@ def test_empty_tables(spark):
     assert urls.judge_pages(pages, RULES).count() == 0
     one = spark.createDataFrame([(1, "http://x.org/", "")], "page_id long, url string, html string")
     assert [(r.rule, r.verdict) for r in urls.judge_pages(one, []).collect()] == [(None, "allow")]
+
+
+def test_scores_that_do_not_settle_raise(spark):
+    seeds = spark.createDataFrame([("a", 1.0, 0.0), ("b", 0.0, 0.0)], "host string, trusted double, blocked double")
+    links = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long")
+    with pytest.raises(RuntimeError, match="settled"):
+        urls.propagate(seeds, links, rounds=2)
+    assert urls.propagate(seeds, links).rows.count() == 2
