@@ -155,7 +155,7 @@ def m16(spark, d):
     seeded = raw.withColumn(
         "payload",
         F.when(F.col("record_index") % 500 == 1,
-               F.concat(F.lit('{"ip_addr":"x",'), F.substring("payload", 2, 1_000_000))).otherwise(F.col("payload")),
+               F.concat(F.lit('{"ip_addr":"x",'), F.expr("substring(payload, 2)"))).otherwise(F.col("payload")),
     )
     return ck.personal_keys(seeded).select("record_index")
 
@@ -317,12 +317,12 @@ def a2(spark, d):
 
 
 def _export_folder(spark, d, profile):
-    """A profile's export as files, each one JSON array, with personal keys and unrelated neighbours."""
+    """A profile's export as several files a year, each one JSON array, with personal keys."""
     fs = spark._jvm.org.apache.hadoop.fs
     base = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
     records = raw_export(spark, d).filter(F.col(P) == profile).select(
-        F.regexp_extract("source_file", "[0-9]+", 0).alias("year"), "record_index",
-        F.concat(F.lit('{"ip_addr":"1.2.3.4","user_agent":"x",'), F.substring("payload", 2, 1_000_000)).alias("payload"),
+        F.concat_ws("_", F.regexp_extract("source_file", "[0-9]+", 0), w.text(F.pmod("record_index", F.lit(8)))).alias("year"), "record_index",
+        F.concat(F.lit('{"ip_addr":"1.2.3.4","user_agent":"x",'), F.expr("substring(payload, 2)")).alias("payload"),
     )
     listed = F.transform(F.array_sort(F.collect_list(F.struct("record_index", "payload"))), lambda x: x["payload"])
     arrays = records.groupBy("year").agg(F.concat(F.lit("["), F.array_join(listed, ","), F.lit("]")).alias("value"))
@@ -339,20 +339,25 @@ def _export_folder(spark, d, profile):
     return f"{base}/files", f"{base}/raw"
 
 
-@query("a2_load_export_records", f"""WITH {o.HIST}, e AS (SELECT * FROM hist WHERE source_system = 'export' AND profile_slug = 'p1')
- SELECT 'Streaming_History_Audio_' || year(ended) || '.json' AS source_file, count(*) AS records, CAST(count(*) - 1 AS BIGINT) AS last_index, CAST(sum(ms) AS BIGINT) AS ms, 0 AS with_personal_keys,
-  (SELECT count(*) FROM e) AS added_first, 0 AS added_again FROM (SELECT *, CAST(regexp_extract(source_file, '[0-9]+') AS INT) AS file_year FROM e) x GROUP BY ALL""".replace("year(ended)", "file_year"))
+@query("a2_load_export_records", f"""WITH {o.HIST}, e AS (SELECT *, regexp_extract(source_file, '[0-9]+') || '_' || raw_id % 8 AS part_name FROM hist WHERE source_system = 'export'),
+ n AS (SELECT profile_slug, count(*) AS added_first FROM e GROUP BY 1)
+ SELECT profile_slug, 'Streaming_History_Audio_' || part_name || '.json' AS source_file, count(*) AS records, CAST(count(*) - 1 AS BIGINT) AS last_index, CAST(sum(ms) AS BIGINT) AS ms, 0 AS with_personal_keys,
+  any_value(added_first) AS added_first, 0 AS added_again FROM e JOIN n USING (profile_slug) GROUP BY 1, 2""")
 def a2_load(spark, d):
-    """Landing files -> records, twice; the second run finds every record stored."""
-    files, target = _export_folder(spark, d, "p1")
-    added = [rd.load_export_records(spark, files, "p1", target) for _ in range(2)]
+    """Landing files of every profile -> records, twice; the second run finds every record stored."""
+    target, added = None, []
+    for profile, *_ in w.PROFILES:
+        files, raw = _export_folder(spark, d, profile)
+        target = target or raw
+        added.append((profile, *[rd.load_export_records(spark, files, profile, target) for _ in range(2)]))
     stored = spark.read.parquet(target)
     keys = F.coalesce(F.json_object_keys("payload"), F.array().cast("array<string>"))
-    return stored.groupBy("source_file").agg(
+    told = small_table(spark, added, f"{P} string, added_first bigint, added_again int")
+    return stored.groupBy(P, "source_file").agg(
         F.count(F.lit(1)).alias("records"), F.max("record_index").alias("last_index"),
         F.sum(F.get_json_object("payload", "$.ms_played").cast("bigint")).alias("ms"),
         F.count_if(F.arrays_overlap(keys, F.array(F.lit("ip_addr"), F.lit("user_agent")))).cast("int").alias("with_personal_keys"),
-    ).withColumns({"added_first": F.lit(added[0]), "added_again": F.lit(added[1])})
+    ).join(told, P)
 
 
 _NAMES = """fn AS (SELECT DISTINCT CASE l_linenumber WHEN 1 THEN 'StreamingHistory_music_' || year(l_shipdate) WHEN 2 THEN 'notes_' || year(l_shipdate)
