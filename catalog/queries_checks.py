@@ -408,6 +408,33 @@ def a6(spark, d):
     return spark.read.parquet(path).groupBy("feed").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("a6_append_observed", """SELECT 'good' AS batch, 'published' AS outcome, count(*) FILTER (o_orderstatus = 'O') AS rows, 0 AS odd_status, 0 AS lost_response FROM orders
+ UNION ALL SELECT 'bad', 'refused', 0, count(*) FILTER (o_orderstatus = 'P'), count(*) FILTER (o_orderstatus = 'F' OR o_orderkey % 11 = 0) FROM orders""")
+def a6_observed(spark, d):
+    """Two batches, one of which breaks two rules; each is counted and written in one pass."""
+    path = f"{shared_dir(spark)}/observed-{uuid.uuid4().hex}"
+    orders = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.lit("orders").alias("feed"), F.col("o_orderstatus").alias("status"),
+        F.when((F.col("o_orderstatus") != "F") & (F.col("o_orderkey") % 11 != 0), F.col("o_orderkey")).alias("raw_id"),
+    )
+    rules = {"odd_status": F.col("status").isin("O", "F"), "lost_response": F.col("raw_id").isNotNull()}
+    wr.append_observed(orders.filter("status = 'O'"), path, {"odd_status": rules["odd_status"]}, "good")
+    lost: dict[str, int] = {}
+    try:
+        wr.append_observed(orders, path, rules, "bad")
+    except wr.BatchRefused as refused:
+        lost = refused.broken
+    shown = spark.read.parquet(path).groupBy("batch").agg(F.count(F.lit(1)).alias("rows"))
+    batches = small_table(
+        spark,
+        [("good", "published", 0, 0), ("bad", "refused" if lost else "published", *(lost.get(x, 0) for x in rules))],
+        "batch string, outcome string, odd_status bigint, lost_response bigint",
+    )
+    return batches.join(shown, "batch", "left").select(
+        "batch", "outcome", F.coalesce("rows", F.lit(0)).alias("rows"), "odd_status", "lost_response"
+    )
+
+
 @query("a8_write_sheet", "SELECT row_number() OVER (ORDER BY p_partkey) AS order_number, p_name AS song FROM part")
 def a8(spark, d):
     sheet = ranked(

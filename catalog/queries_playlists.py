@@ -199,6 +199,26 @@ def p9(spark, d):
     return pl.name_matches(names, _NEEDLES)
 
 
+_TYPED = """ty AS (SELECT DISTINCT CASE c_custkey % 5 WHEN 0 THEN 'MIX''S supplier#' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') WHEN 1 THEN lpad(CAST(c_custkey % 1000 AS VARCHAR), 4, '0')
+  WHEN 2 THEN CAST(c_custkey % 100 AS VARCHAR) WHEN 3 THEN c_name ELSE '’s Supplier#00000' || lpad(CAST(c_custkey // 5 % 10000 AS VARCHAR), 4, '0') END AS needle FROM customer)"""
+
+
+@query("p9_resolve_names", f"""WITH {_TYPED}, s AS (SELECT 'Mix’s ' || s_name AS n, lower(replace('Mix’s ' || s_name, '’', '''')) AS fn FROM supplier), f AS (SELECT needle, lower(replace(needle, '’', '''')) AS t FROM ty),
+ m AS (SELECT needle, count(*) FILTER (fn = t) AS exact_names, count(n) AS loose_names, min(n) FILTER (fn = t) AS en, min(n) AS ln FROM f LEFT JOIN s ON contains(fn, t) GROUP BY 1)
+ SELECT needle, exact_names, loose_names, CASE WHEN exact_names = 1 THEN en WHEN exact_names = 0 AND loose_names = 1 THEN ln END AS resolved,
+  CASE WHEN exact_names = 1 THEN 'exact' WHEN exact_names = 0 AND loose_names = 1 THEN 'only' WHEN loose_names = 0 THEN 'none' ELSE 'several' END AS outcome FROM m""")
+def p9_resolve(spark, d):
+    """What every customer may have typed: whole names, their numbers, two digits, other people's names."""
+    key = F.col("c_custkey")
+    padded = lambda c, n: F.lpad(c.cast("string"), n, "0")
+    typed = F.when(key % 5 == 0, F.concat(F.lit("MIX'S supplier#"), padded(key, 9))).when(
+        key % 5 == 1, padded(key % 1000, 4)).when(key % 5 == 2, (key % 100).cast("string")).when(
+        key % 5 == 3, F.col("c_name")).otherwise(
+        F.concat(F.lit("’s Supplier#00000"), padded(F.floor(key / 5) % 10_000, 4)))
+    names = table(spark, d, "supplier").select(F.concat(F.lit("Mix’s "), "s_name").alias("playlist_name"))
+    return pl.resolve_names(names, table(spark, d, "customer").select(typed.alias("needle")))
+
+
 @query("p9_any_word_candidates", f"""WITH {o.MEMBERS}, {_PK} SELECT 'Mix’s ' || playlist_id AS playlist_name, k * 2 AS track_total, CAST(count(*) AS BIGINT) AS loaded FROM pk JOIN mem USING (playlist_id)
  WHERE k % 10 <> 0 AND ('Mix’s ' || playlist_id ILIKE '%pl12%' OR 'Mix’s ' || playlist_id ILIKE '%pl34%') GROUP BY ALL ORDER BY 3 DESC, 1 LIMIT 15""")
 def p9_words(spark, d):

@@ -9,6 +9,7 @@ from catalog import oracle as o
 from catalog import world as w
 from catalog.base import day, query, r, table, utc
 from playmart.operators.ordered import keep_first, top_per_group
+from playmart.operators.selection import exact_quantiles
 from playmart.operators.sets import (
     is_subset, lump_rest, missing_keys, shared_keys, tagged, with_share,
 )
@@ -279,6 +280,17 @@ def d14(spark, d):
     )
 
 
+@query("d14_exact_quantiles", """SELECT l_returnflag, l_linestatus, round(quantile_cont(l_extendedprice, 0.5), 4) AS median, round(quantile_cont(l_extendedprice, 0.95), 4) AS p95,
+ min(l_extendedprice) AS low, max(l_extendedprice) AS high FROM lineitem GROUP BY 1, 2""")
+def d14_quantiles(spark, d):
+    """Nearly every price differs, and a few keys hold all rows: no buffer may hold a key's prices."""
+    found = exact_quantiles(
+        t(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice",
+        {"median": 0.5, "p95": 0.95, "low": 0.0, "high": 1.0},
+    )
+    return found.withColumns({"median": r("median"), "p95": r("p95")})
+
+
 @query("d15_pivot", """SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F", count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P" FROM orders GROUP BY 1""")
 def d15(spark, d):
     return t(spark, d, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1))).fillna(0)

@@ -156,9 +156,12 @@ def tail_histogram(export: DataFrame, clip: int = 50) -> DataFrame:
 
 
 def tail_summary(export: DataFrame) -> DataFrame:
-    return _plays_per_item(export).groupBy(PROFILE).agg(
-        F.count(F.lit(1)).alias("items"), F.count_if(F.col("n") == 1).alias("played_once"),
-        F.median("n").alias("median_plays"), F.max("n").alias("max_plays"),
+    # items per number of plays: a median then weighs a few numbers instead of holding every item
+    same = _plays_per_item(export).groupBy(PROFILE, "n").agg(F.count(F.lit(1)).alias("items"))
+    return same.groupBy(PROFILE).agg(
+        F.sum("items").alias("items"),
+        F.coalesce(F.sum(F.when(F.col("n") == 1, F.col("items"))), F.lit(0)).alias("played_once"),
+        F.percentile("n", 0.5, F.col("items")).alias("median_plays"), F.max("n").alias("max_plays"),
     )
 
 
@@ -200,11 +203,16 @@ def most_replayed(export: DataFrame, top: int = 10) -> DataFrame:
 
 
 def repeat_summary(export: DataFrame) -> DataFrame:
+    # spans are rounded to tenths of a year, so tracks per span are few
     once = F.col("plays") == 1
-    return _per_track(export).groupBy(PROFILE).agg(
-        F.count(F.lit(1)).alias("tracks"), F.count_if(once).alias("once_only"),
-        F.round(F.lit(100.0) * F.count_if(once) / F.count(F.lit(1)), 2).alias("pct_once_only"),
-        F.median(F.when(~once, F.col("span_years"))).alias("median_span_of_repeats"),
+    same = _per_track(export).groupBy(
+        PROFILE, once.alias("once"), F.when(~once, F.col("span_years")).alias("span")
+    ).agg(F.count(F.lit(1)).alias("tracks"))
+    single = F.coalesce(F.sum(F.when(F.col("once"), F.col("tracks"))), F.lit(0))
+    return same.groupBy(PROFILE).agg(
+        F.sum("tracks").alias("tracks"), single.alias("once_only"),
+        F.round(F.lit(100.0) * single / F.sum("tracks"), 2).alias("pct_once_only"),
+        F.percentile("span", 0.5, F.col("tracks")).alias("median_span_of_repeats"),
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmart.functions.text import (
@@ -262,6 +262,62 @@ def name_matches(
     )
 
 
+def _grams(text: Column, size: int) -> Column:
+    """All pieces of `size` code points; the empty piece for size 0."""
+    if size == 0:
+        return F.array(F.lit(""))
+    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - (size - 1)))
+    return F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: F.substring(text, i, F.lit(size)))
+
+
+def resolve_names(
+    names: DataFrame, asked: DataFrame, column: str = "playlist_name", needle: str = "needle"
+) -> DataFrame:
+    """`name_matches` for a table of typed names: one row per distinct one, with its `outcome`.
+
+    exact: one name equals it (folded); only: no equal, one name contains it; none; several.
+    A NULL name is nobody's and a NULL needle is not asked.
+
+    Names are filed under their pieces of three code points. Each needle is looked up under the rarest
+    of its own (a shorter one under the whole of itself) and what is found there is compared in full,
+    so a needle meets only names that hold its rarest piece.
+    """
+    folded = names.select(F.col(column).alias("name")).dropna().distinct().withColumn("n", normalise_name(F.col("name")))
+    typed = asked.select(F.col(needle).alias("needle")).dropna().distinct().withColumn("t", normalise_name(F.col("needle")))
+    short = F.length("t")
+    own = typed.select("needle", "t", F.explode(
+        F.when(short == 0, _grams(F.col("t"), 0)).when(short == 1, _grams(F.col("t"), 1))
+        .when(short == 2, _grams(F.col("t"), 2)).otherwise(F.array_distinct(_grams(F.col("t"), 3)))
+    ).alias("gram"))
+    pieces = F.array_distinct(F.flatten(F.array(*[_grams(F.col("n"), size) for size in range(4)])))
+    filed = folded.select("name", "n", F.explode(pieces).alias("gram")).join(
+        own.select("gram").distinct(), "gram", "left_semi"
+    )
+    sizes = filed.groupBy("gram").agg(F.count(F.lit(1)).alias("names"))
+    # a piece that no name holds rules the needle out: it is the rarest and meets nothing
+    rarest = own.join(sizes, "gram", "left").groupBy("needle", "t").agg(
+        F.min_by("gram", F.struct(F.coalesce("names", F.lit(0)), F.col("gram"))).alias("gram")
+    )
+    met = rarest.join(filed, "gram").filter(F.col("n").contains(F.col("t")))
+    exact = F.col("n") == F.col("t")
+    counts = met.groupBy("needle").agg(
+        F.count_if(exact).alias("exact_names"), F.min(F.when(exact, F.col("name"))).alias("exact_name"),
+        F.count(F.lit(1)).alias("loose_names"), F.min("name").alias("loose_name"),
+    )
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("exact_names", "loose_names")}
+    none_equal = F.col("exact_names") == 0
+    outcome = (
+        F.when(F.col("exact_names") == 1, "exact").when(none_equal & (F.col("loose_names") == 1), "only")
+        .when(F.col("loose_names") == 0, "none").otherwise("several")
+    )
+    resolved = F.when(F.col("outcome") == "exact", F.col("exact_name")).when(
+        F.col("outcome") == "only", F.col("loose_name")
+    )
+    return typed.select("needle").join(counts, "needle", "left").withColumns(zero).withColumn(
+        "outcome", outcome
+    ).select("needle", "exact_names", "loose_names", resolved.alias("resolved"), "outcome")
+
+
 def resolve_name(names: DataFrame, needle: str, column: str = "playlist_name") -> tuple[str, bool]:
     """The one name that fits and whether it fits exactly; an error names the candidates."""
     row = name_matches(names, [needle], column).first()

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from playmart.config import EXPORT_PII_KEYS
@@ -16,6 +17,14 @@ EXTERNAL_SOURCES = ("musicbrainz",)
 EXTERNAL_FEEDS = ("isrc", "artist")
 
 
+class BatchRefused(SourceError):
+    """A batch that was not published; `broken` counts its rows per broken rule."""
+
+    def __init__(self, batch: str, broken: dict[str, int]):
+        super().__init__(f"batch {batch!r} is not published; rows that break a rule: {broken}")
+        self.broken = broken
+
+
 def broken_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Rows breaking at least one rule, with the names of the rules in `broken`."""
     names = F.array_compact(
@@ -69,6 +78,47 @@ def append_responses(
     guarded(df, rules).write.mode("append").partitionBy(*partition).parquet(path)
 
 
+def violations(df: DataFrame, rules: dict[str, Column], name: str) -> tuple[DataFrame, Observation]:
+    """The frame itself, and how many of its rows break each rule, counted while it is written.
+
+    A rule that is NULL for a row counts as broken. The numbers are there once an action has run.
+    """
+    seen = Observation(name)
+    broken = [F.count_if(~F.coalesce(ok, F.lit(False))).alias(rule) for rule, ok in rules.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *broken), seen
+
+
+def append_observed(
+    df: DataFrame, path: str, rules: dict[str, Column], batch: str, partition: Sequence[str] = ("feed",)
+) -> int:
+    """Append one batch if no row breaks a rule; the error names every broken rule and its rows.
+
+    Rules are counted in the pass that writes. The rows go to a folder readers skip (its name starts
+    with `_`); the batch appears as the partition `batch=<batch>` by renaming that one folder, so it is
+    there whole or not at all. A refused batch stays in the hidden folder for inspection; writing it
+    again replaces it. A batch already published is not written again. Returns the rows written.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9-]+", batch):
+        raise SourceError(f"a batch is named by letters, digits and hyphens: {batch!r}")
+    if "rows" in rules:
+        raise SourceError("no rule may be called rows")
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    hidden, shown = folder(f"{path}/_held-{batch}"), folder(f"{path}/batch={batch}")
+    files = shown.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(shown):
+        raise SourceError(f"batch {batch!r} is already there")
+    checked, seen = violations(df, rules, f"append {batch}")
+    checked.write.mode("overwrite").partitionBy(*partition).parquet(str(hidden.toString()))
+    found = seen.get
+    broken = {rule: found[rule] for rule in rules if found.get(rule)}
+    if broken:
+        raise BatchRefused(batch, broken)
+    if not files.rename(hidden, shown):
+        raise SourceError(f"batch {batch!r} could not be published")
+    return found.get("rows", 0)
+
+
 def fingerprint(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Rows and an order-free fingerprint per key: partial sums only, no ordered collect."""
     h = F.xxhash64(*values)

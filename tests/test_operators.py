@@ -169,3 +169,29 @@ def test_a_merge_reads_and_writes_touched_months_only(spark, rows, tmp_path):
     assert [p.name for p in (tmp_path / "observations" / "data" / "gen=1").glob("chunk=*")] == ["chunk=2024-03"]
     got = [(f"{r.valid_from:%m-%d}", r.sig, r.valid_to and f"{r.valid_to:%m-%d}") for r in store.versions(1).orderBy("version_number").collect()]
     assert got == [("01-01", "A", "03-15"), ("03-15", "B", "04-01"), ("04-01", "A", None)]
+
+
+def test_exact_quantiles_equal_percentile_on_a_hot_key(spark):
+    from playmart.operators.selection import counted_quantiles, exact_quantiles
+
+    n = F.col("id")
+    rows = spark.range(30_000).select(
+        F.when(n % 3 == 0, "hot").when(n % 101 == 0, None).otherwise(F.concat(F.lit("k"), (n % 17).cast("string"))).alias("k"),
+        (n % 2).alias("j"),
+        F.when(n % 7 == 0, None).when(n % 5 == 0, 1.5).otherwise((n * 7919) % 10_007 / 3).alias("v"),
+    ).unionByName(spark.sql("select 'empty' k, 0L j, cast(null as double) v union all select 'one', 0, 4.0 union all select 'inf', 1, double('inf')"))
+    fractions = {"low": 0.0, "median": 0.5, "p95": 0.95, "high": 1.0}
+    want = rows.filter("v is not null").groupBy("k", "j").agg(
+        *[F.percentile("v", f).alias(name) for name, f in fractions.items()])
+    want = {(r["k"], r["j"]): r for r in want.collect()}
+    assert len(want) > 30
+    for found in (exact_quantiles, counted_quantiles):
+        got = {(r["k"], r["j"]): r for r in found(rows, ["k", "j"], "v", fractions).collect()}
+        assert got.keys() == want.keys()
+        for key, row in want.items():
+            assert [got[key][f] for f in fractions] == pytest.approx([row[f] for f in fractions]), key
+    whole = exact_quantiles(rows, [], "v", {"median": 0.5}).collect()
+    assert whole[0]["median"] == pytest.approx(rows.agg(F.median("v")).first()[0])
+    assert exact_quantiles(rows.filter("false"), ["k"], "v", {"m": 0.5}).count() == 0
+    with pytest.raises(ValueError):
+        exact_quantiles(rows, ["k"], "v", {"m": 1.5})

@@ -69,6 +69,32 @@ def test_names(rows):
             pl.resolve_name(names, needle)
 
 
+def test_many_names_resolve_like_one_at_a_time(rows):
+    held = ["Connor’s Playlist", "College Days", "College Days Again", "a", "ab", "Été à deux", "COLLEGE DAYS AGAIN", ""]
+    typed = ["connor's playlist", "College Days", "again", "college", "nothing", "", "a", "ab", "b", "été", "à d", "zz", "days ag", "aaaa"]
+    names = rows([(n,) for n in [*held, "a", None]], "playlist_name string")
+    asked = rows([(n,) for n in [*typed, "again", None]], "needle string")
+    got = {r["needle"]: r.asDict() for r in pl.resolve_names(names, asked).collect()}
+    assert sorted(got) == sorted(typed)
+
+    def folded(text):
+        return text.replace("’", "'").lower()
+
+    for needle in typed:
+        equal = sorted(n for n in held if folded(n) == folded(needle))
+        near = sorted(n for n in held if folded(needle) in folded(n))
+        row = got[needle]
+        assert (row["exact_names"], row["loose_names"]) == (len(equal), len(near)), needle
+        want = equal[0] if len(equal) == 1 else near[0] if not equal and len(near) == 1 else None
+        assert row["resolved"] == want
+        if len(equal) == 1:
+            assert row["outcome"] == "exact"
+        else:
+            assert row["outcome"] == ("only" if want is not None else "several" if near else "none")
+    nobody = pl.resolve_names(names.filter("false"), asked).collect()
+    assert {r["outcome"] for r in nobody} == {"none"} and pl.resolve_names(names, asked.filter("false")).count() == 0
+
+
 def test_sheet_coverage_counts_blank_as_unfilled(rows):
     sheet = rows([("a", "", "n"), ("b", None, "n")], "song string, genre string, notes string")
     got = {r["column"]: r["populated"] for r in pl.sheet_coverage(sheet).collect()}

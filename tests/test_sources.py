@@ -77,6 +77,24 @@ def test_guarded_append_refuses_the_batch(spark, rows, tmp_path):
     assert wr.broken_rules(gaps, wr.gap_rules()).first()["broken"] == ["gap has a length"]
 
 
+def test_observed_append_counts_every_rule_and_publishes_whole_batches(spark, rows, tmp_path):
+    path = str(tmp_path / "observed")
+    good = rows([(1, "me", "{}"), (2, "me", "{}"), (3, "you", "{}")], "id bigint, feed string, payload string")
+    bad = rows([(4, "Bad Feed", "{}"), (5, "me", None), (6, None, None)], "id bigint, feed string, payload string")
+    assert wr.append_observed(good, path, wr.response_rules(), "b1") == 3
+    with pytest.raises(wr.BatchRefused) as refused:
+        wr.append_observed(good.unionByName(bad), path, wr.response_rules(), "b2")
+    assert refused.value.broken == {"feed name": 2, "payload": 2}
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    # the mended batch takes the refused one's place; a published one is not written twice
+    assert wr.append_observed(bad.filter("id = 5").fillna("{}"), path, wr.response_rules(), "b2") == 1
+    for batch in ("b1", "not/a/name"):
+        with pytest.raises(rd.SourceError):
+            wr.append_observed(good, path, wr.response_rules(), batch)
+    assert wr.append_observed(good.filter("id > 9"), path, wr.response_rules(), "none") == 0
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3, 5]
+
+
 def test_owner_is_answered_then_removed(spark):
     doc = json.dumps({"items": [
         {"id": "a", "owner": {"id": "me", "display_name": "x", "type": "user"}, "images": [1]},
