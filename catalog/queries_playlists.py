@@ -270,6 +270,26 @@ def p11(spark, d):
     )
 
 
+_FILLED = {
+    **dict.fromkeys(("playlist_id", "order_number", "track_id", "plays", "qualified_plays", "minutes", "resolved"), "TRUE"),
+    "song": "trim(title) <> ''", "artist": "trim(artist) <> ''", "genre": "genre IS NOT NULL", "added_at": "added_at IS NOT NULL",
+    **dict.fromkeys(("duration", "duration_ms"), "duration_ms IS NOT NULL OR content_key % 2 = 0"),
+    **dict.fromkeys(("first_played", "last_played"), "plays IS NOT NULL"),
+    **dict.fromkeys(("album", "year", "explicit", "track_no", "album_type"), "described"),
+    "isrc": "isrc IS NOT NULL OR described AND part % 17 <> 0",
+}
+_COUNTED = " UNION ALL ".join(
+    f"""SELECT '{name}' AS "column", count(*) FILTER ({rule}) AS populated, count(*) AS "of" FROM x""" for name, rule in _FILLED.items()
+)
+
+
+@query("p11_sheet_coverage_all", f"""WITH {_SHEET.format(star=ALL)}, x AS (SELECT s0.*, cat.content_key, duration_ms, genre, plays, is_resolved AND s0.part % 10 > 1 AS described
+  FROM s0 JOIN cat USING (part) LEFT JOIN gn USING (content_key) LEFT JOIN ls USING (content_key)), y AS ({_COUNTED}) SELECT *, round(100.0 * populated / "of", 0) AS pct FROM y""")
+def p11_all(spark, d):
+    """Every column of the sheets of all playlists."""
+    return pl.sheet_coverage(sheet(spark, d))
+
+
 # --- extracts -------------------------------------------------------------------------------------
 
 OPTS = ExtractOptions()
