@@ -229,6 +229,11 @@ def polls(spark: SparkSession, d: str, size: int = 10, drop_every: int = 4) -> D
 # --- lineitem, orders, part: a long history -------------------------------------------------------
 
 
+def parts(spark: SparkSession, d: str) -> DataFrame:
+    """Parts dealt out by key: the file is small for its rows, so few tasks would read and describe them all."""
+    return table(spark, d, "part").repartition("p_partkey")
+
+
 @planned
 def history(spark: SparkSession, d: str) -> DataFrame:
     """Order lines as plays: a line was shipped when it was heard, and its quantity is how long."""
@@ -332,7 +337,7 @@ def isrc_of(part: Column) -> Column:
 def raw_tracks(spark: SparkSession, d: str) -> DataFrame:
     """A JSON document per resolved track; every fourth one was looked up again under a new name."""
     n, bn = F.col("p_partkey"), brand_number()
-    part = table(spark, d, "part").filter((n % 3 != 0) & (n % 10 > 1))
+    part = parts(spark, d).filter((n % 3 != 0) & (n % 10 > 1))
     seen = part.withColumn(
         "look", F.explode(F.when(n % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     )
@@ -388,7 +393,7 @@ def raw_tracks(spark: SparkSession, d: str) -> DataFrame:
 def raw_external(spark: SparkSession, d: str) -> DataFrame:
     """Recording-code lookups (one per part) and four observations of every external artist."""
     n, bn = F.col("p_partkey"), brand_number()
-    part = table(spark, d, "part")
+    part = parts(spark, d)
     own = F.when(bn % 7 == 0, mbid(bn + (n % 2) * 100)).otherwise(mbid(bn))
     credit = lambda i: F.struct(
         F.array(F.struct(F.struct(i.alias("id")).alias("artist"))).alias("artist-credit")
