@@ -15,7 +15,7 @@ from playmart.config import ExtractOptions
 from playmart.plans import playlists as pl
 from playmart.plans import publish as pb
 from playmart.plans import star
-from playmart.session import shared_dir
+from playmart.session import pinned, shared_dir
 
 P = "profile_slug"
 
@@ -315,6 +315,12 @@ def daily(spark, d, opts=OPTS):
     )
 
 
+def _sums(spark, d):
+    """Sums of the published plays, written once for all extracts that read them, and the daily extract."""
+    sums = pinned(pb.published_sums(published(spark, d)))
+    return sums, pb.plays_daily(sums, w.br_artist_genre(spark, d), w.bucket_map(spark, d), OPTS)
+
+
 @query("q1_plays_daily", f"""WITH {_PUB} SELECT profile_slug, CAST(full_date AS VARCHAR) AS play_date, content_type, bucket_name, {_DAILY} FROM pd GROUP BY 1, 2, 3, 4""")
 def q1(spark, d):
     return daily(spark, d).withColumns(
@@ -376,20 +382,22 @@ def q6(spark, d):
  UNION ALL SELECT 'genres', count(*), CAST(min(month_start) AS VARCHAR), CAST(max(month_start) AS VARCHAR) FROM ge
  UNION ALL SELECT 'artists', count(*), min(yr) || '-01-01', max(yr) || '-12-31' FROM (SELECT DISTINCT profile_slug, yr, artist_key FROM pu WHERE content_type = 'track')""")
 def q7(spark, d):
+    sums, own = _sums(spark, d)
     extracts = {
-        "plays_daily": daily(spark, d), "genres": pb.genres(daily(spark, d)),
-        "artists": pb.artists(published(spark, d), w.dim_artist(spark, d)),
+        "plays_daily": own, "genres": pb.genres(own),
+        "artists": pb.artists(sums, w.dim_artist(spark, d)),
     }
     return pb.extract_summary(extracts).select("extract", "rows", day("first_date"), day("last_date"))
 
 
 def _extracts(spark, d):
     """The four tables that are published."""
-    own, weights = daily(spark, d), (w.br_artist_genre(spark, d), w.bucket_map(spark, d), OPTS)
+    sums, own = _sums(spark, d)
+    weights = (w.br_artist_genre(spark, d), w.bucket_map(spark, d), OPTS)
     return {
-        "plays_daily": own, "artists": pb.artists(published(spark, d), w.dim_artist(spark, d)),
+        "plays_daily": own, "artists": pb.artists(sums, w.dim_artist(spark, d)),
         "genres": pb.genres(own),
-        "coverage": pb.coverage(steps(spark, d), pb.published_steps(published(spark, d), *weights)),
+        "coverage": pb.coverage(steps(spark, d), pb.published_steps(sums, *weights)),
     }
 
 

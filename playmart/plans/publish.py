@@ -56,21 +56,44 @@ def published_plays(
 ) -> DataFrame:
     """The plays an extract may count, with content type, day and primary artist.
 
-    The fact carries no incognito flag, so marked records are taken out by (profile, uri, moment).
+    The fact carries no incognito flag, so marked records are taken out by (profile, uri, moment). Content
+    and its primary artist meet first, so plays are shuffled once for both.
     """
     who = profiles.filter("profile_key > 0").select("profile_key", PROFILE)
     if opts.profile is not None:
         who = who.filter(F.col(PROFILE) == opts.profile)
+    primary = credits.filter("is_primary").select("content_key", "artist_key")
+    described = content.select("content_key", "content_uri", "content_type").join(primary, "content_key", "left")
     rows = (
         fact.join(who, "profile_key")
         .join(F.broadcast(dates.select("date_key", "full_date", "year", "month_start")), "date_key")
-        .join(content.select("content_key", "content_uri", "content_type"), "content_key")
+        .join(described, "content_key")
     )
     if opts.exclude_incognito:
         private = incognito.filter("was_incognito").select(PROFILE, "content_uri", "ended_at_utc")
         rows = rows.join(private, [PROFILE, "content_uri", "ended_at_utc"], "left_anti")
-    primary = credits.filter("is_primary").select("content_key", "artist_key")
-    return rows.join(primary, "content_key", "left")
+    return rows
+
+
+_SUMS = ("n", "q", "ms", "timed")
+
+
+def play_sums(plays: DataFrame, *keys: str | Column) -> DataFrame:
+    """Plays, qualified ones, time and plays with a time per key, from plays or from sums of them."""
+    if set(_SUMS) <= set(plays.columns):
+        return plays.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
+    return plays.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("is_qualified_play").alias("q"),
+        F.sum("ms_played").alias("ms"), F.count("ms_played").alias("timed"),
+    )
+
+
+def published_sums(plays: DataFrame) -> DataFrame:
+    """Published plays per day, content type and artist: what every extract without country or device reads.
+
+    Days, types and artists are few beside plays, so several extracts can share one pass over them.
+    """
+    return play_sums(plays, PROFILE, "full_date", "year", "content_type", "artist_key")
 
 
 def artist_bucket_weights(artist_genres: DataFrame, bucket_map: DataFrame, tag_type: str) -> DataFrame:
@@ -102,12 +125,8 @@ def plays_daily(
     """
     extra = _optional(opts)
     keys = [PROFILE, "play_date", "content_type", *[name for name, _ in extra]]
-    sums = plays.select(
-        PROFILE, F.col("full_date").alias("play_date"), "content_type", "artist_key", "ms_played",
-        "is_qualified_play", *[col.alias(name) for name, col in extra],
-    ).groupBy(*keys, "artist_key").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("is_qualified_play").alias("q"),
-        F.sum("ms_played").alias("ms"), F.count("ms_played").alias("timed"),
+    sums = play_sums(
+        plays.withColumn("play_date", F.col("full_date")).withColumns(dict(extra)), *keys, "artist_key"
     )
     weights = artist_bucket_weights(artist_genres, bucket_map, opts.tag_type)
     shared = sums.join(weights, "artist_key", "left").withColumns(
@@ -126,10 +145,7 @@ def plays_daily(
 
 def artists(plays: DataFrame, dim_artist: DataFrame) -> DataFrame:
     """Year x artist over music; plays of nobody known are a row of their own."""
-    sums = plays.filter("content_type = 'track'").groupBy(PROFILE, "year", "artist_key").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("is_qualified_play").alias("q"),
-        F.sum("ms_played").alias("ms"), F.count("ms_played").alias("timed"),
-    )
+    sums = play_sums(plays.filter("content_type = 'track'"), PROFILE, "year", "artist_key")
     named = sums.join(dim_artist.select("artist_key", "artist_name"), "artist_key", "left")
     return named.groupBy(
         PROFILE, "year", F.coalesce("artist_name", F.lit(UNIDENTIFIED)).alias("artist_name"),
@@ -161,10 +177,7 @@ def published_steps(
         "artist_key"
     ).distinct().withColumn("reached", F.lit(True))
     music, known = F.col("content_type") == "track", F.col("artist_key").isNotNull()
-    sums = plays.groupBy(PROFILE, "content_type", "artist_key").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("ms_played").alias("ms"),
-        F.count("ms_played").alias("timed"),
-    ).join(reached, "artist_key", "left")
+    sums = play_sums(plays, PROFILE, "content_type", "artist_key").join(reached, "artist_key", "left")
     depth = (
         F.when(music & F.col("reached").isNotNull(), 4).when(music & known, 3).when(music, 2)
         .otherwise(1)
