@@ -40,6 +40,26 @@ def test_loading_twice_adds_nothing(spark, export, tmp_path):
     assert [c for c in json.loads(stored.first()["payload"]) if c.startswith(("ip", "user"))] == []
 
 
+def test_files_stored_whole_are_not_read_again(spark, export, tmp_path):
+    target = str(tmp_path / "raw")
+    rd.load_export_records(spark, str(export), "alpha", target)
+    (export / "Streaming_History_Audio_2025_0.json").write_text(json.dumps([record(n) for n in range(3)]))
+    stored = spark.read.parquet(target)
+    again = rd.read_export_records(spark, str(export), "alpha", stored).collect()
+    assert {r["source_file"] for r in again} == {"Streaming_History_Audio_2025_0.json"} and len(again) == 3
+    assert rd.read_export_records(spark, str(export), "beta", stored).count() == 8
+    # a file that has grown is read, and only its new places are added
+    (export / "Streaming_History_Audio_2024_0.json").write_text(json.dumps([record(n) for n in range(7)]))
+    assert rd.load_export_records(spark, str(export), "alpha", target) == 5
+    assert spark.read.parquet(target).filter("source_file like '%2024%'").count() == 7
+
+
+def test_a_file_whose_first_places_are_missing_is_read(spark, export, tmp_path):
+    target = str(tmp_path / "raw")
+    rd.read_export_records(spark, str(export), "alpha").filter("record_index > 1").write.partitionBy("profile_slug").parquet(target)
+    assert rd.load_export_records(spark, str(export), "alpha", target) == 2
+
+
 def test_wrong_package_and_duplicate_names(spark, export, tmp_path):
     (export / "more").mkdir()
     (export / "more" / "Streaming_History_Audio_2024_0.json").write_text("[]")
