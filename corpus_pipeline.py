@@ -18,7 +18,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the smallest id stays."""
+    """Of each group of near copies (SimHash fingerprints within three bits, or five-word shingles with a similarity
+    of 0.8 or more) the smallest id stays."""
     return near_copies.keep_one_of_each(docs)
 
 

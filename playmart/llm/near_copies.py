@@ -1,10 +1,14 @@
-"""Near copies by the Jaccard similarity of their word shingles: SimHash's stage in the pipeline.
+"""Near copies by SimHash fingerprints and by the Jaccard similarity of word shingles: a stage of the pipeline.
+
+Texts whose SimHash fingerprints differ in three bits or fewer are linked first, exactly as `simhash.py` links
+them. Copies it misses are found by similarity, looking only at texts that are not one component yet.
 
 A text is the set of its five-word shingles. MinHash bands only propose pairs: of pairs with a
 similarity of 0.8 about one in a hundred million shares none of the 60 bands of six slots, of closer
 pairs fewer. One bit of each of the 360 slots makes a fingerprint; a pair at 0.8 differs in 36 bits on
 average, and pairs that differ in more than DIFFER are dropped before any text is fetched. Every other
-pair is confirmed on the whole texts by the exact similarity.
+pair is confirmed by the exact similarity of all shingles, which are made once a text and compared by Spark,
+so no task holds a batch of pairs of texts.
 
 Pairs are taken in three steps, each looking only at keys whose texts are not one component yet: every
 text with the first one of one of its keys; with the first ones of all its keys; with all others.
@@ -13,13 +17,13 @@ text with the first one of one of its keys; with the first ones of all its keys;
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playmart.llm.common import annotate, stored
 from playmart.llm.components import connected_components
+from playmart.llm.simhash import fingerprint, pigeonring_edges
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, SLOTS = 60, 6
@@ -92,71 +96,83 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n_words: int
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = asked.join(nodes.select("node", F.col("first.h1").alias("h1"), F.col("first.h2").alias("h2")), "node")
     texts = docs.join(wanted, ["h1", "h2"]).select("node", "text").dropDuplicates(["node"])
-    held = stored(texts, "near-texts", "zstd")
+
+    def make():
+        return lambda found: [[shingles(t.as_py(), n_words).view(np.int64) for t in found]]
+
+    held = stored(annotate(texts, [F.col("text")], make, "found array<long>", carry=["node"]).select("row.node", "found"), "near-shingles")
     both = (
-        pairs.join(held.rows.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-        .join(held.rows.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+        pairs.join(held.rows.select(F.col("node").alias("a"), F.col("found").alias("x")), "a")
+        .join(held.rows.select(F.col("node").alias("b"), F.col("found").alias("y")), "b")
     )
-
-    def run(batches):
-        for batch in batches:
-            a, b, x, y = (batch.column(i) for i in range(4))
-            seen, found, good = None, None, []
-            for i in range(len(a)):  # one pair of texts at a time
-                if a[i] != seen:
-                    seen, found = a[i], shingles(x[i].as_py(), n_words)
-                good.append(jaccard(found, shingles(y[i].as_py(), n_words)) >= similarity)
-            yield pa.RecordBatch.from_arrays([a.filter(pa.array(good)), b.filter(pa.array(good))], names=["a", "b"])
-
-    links = stored(both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "near-links").rows
+    shared = F.size(F.array_intersect("x", "y"))  # the shingles of a text are distinct
+    enough = shared / (F.size("x") + F.size("y") - shared) >= similarity
+    links = stored(both.filter(enough).select("a", "b"), "near-links").rows
     held.drop()
     return links
 
 
+def _fingerprint_links(prints: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) that join the nodes of texts whose fingerprints differ in SimHash's budget or less."""
+    known = stored(prints.select("same", "fp").distinct().join(nodes.select("same", "node"), "same").select("node", "fp"), "near-fingerprints").rows
+    points = stored(known.groupBy("fp").agg(F.min("node").alias("first")), "points").rows
+    equal = known.join(points, "fp").filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    # a node may hold several fingerprints, so points are named by their own and told their nodes again
+    found = stored(pigeonring_edges(points.select(F.col("fp").alias("node"), "fp")), "links").rows
+    a, b = points.toDF("a", "x"), points.toDF("b", "y")
+    near = found.join(a, "a").join(b, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).filter("a != b")
+    return stored(equal.union(near).distinct(), "near-links").rows
+
+
 def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_words: int = WORDS,
                 similarity: float = SIMILARITY) -> DataFrame:
     """One row per row of docs: h1, h2 (hashes of id and text), component and stays.
 
-    A component holds what is joined by links of at least `similarity`. `stays` is true for the row
+    A component holds what is joined by fingerprints or by links of at least `similarity`. `stays` is true for the row
     with the smallest id (rows without an id come last) and its repeats.
     """
     def make():
         def work(texts):
-            size, same, keys, bits = [], [], [], []
+            size, same, keys, bits, fps = [], [], [], [], []
             for t in texts:
                 found = shingles(t.as_py(), n_words)
                 key, bit = bands(found)
+                fps.append(fingerprint(t.as_py()))
                 size.append(len(found)), same.append(xxhash.xxh3_128_digest(found.tobytes())), keys.append(key), bits.append(bit)
-            return [size, same, keys, bits]
+            return [size, same, keys, bits, np.array(fps, np.uint64).view(np.int64)]
 
         return work
 
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *_same(doc_id, text))
     prints = stored(
-        annotate(keyed, [F.col("text")], make, "size long, same binary, keys array<long>, bits array<long>", carry=["doc_id", "h1", "h2"])
-        .select("row.*", "size", "same", "keys", "bits"), "shingle-prints")
+        annotate(keyed, [F.col("text")], make, "size long, same binary, keys array<long>, bits array<long>, fp long", carry=["doc_id", "h1", "h2"])
+        .select("row.*", "size", "same", "keys", "bits", "fp"), "shingle-prints")
     first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "h1", "h2")
     nodes = stored(
         prints.rows.groupBy("same").agg(F.min(first).alias("first"), F.first("size").alias("size"), F.first("keys").alias("keys"),
                                         F.first("bits").alias("bits"))
         .withColumn("node", F.monotonically_increasing_id()), "shingle-nodes").rows
     rows = stored(prints.rows.select("h1", "h2", "same"), "near-rows").rows
+    links = _fingerprint_links(prints.rows, nodes)
+    label = connected_components(links).rows
     prints.drop()
     filed = nodes.select("node", F.explode("keys").alias("key"))
     heads = filed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
     met = stored(filed.join(heads.select("key", "a"), "key"), "shingle-keys")
     source = keyed.select("h1", "h2", "text")
 
-    tried = stored(met.rows.filter("node != a").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a")).select("a", "b"), "near-tried").rows
-    likely = stored(_sketched(tried, nodes, similarity), "near-pairs").rows
-    links = _confirmed(likely, nodes, source, n_words, similarity)
-    label = connected_components(links).rows
-
     def open_keys() -> DataFrame:
         named = met.rows.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
         return stored(named.join(mixed, "key"), "near-open").rows
 
+    left = open_keys()
+    apart = left.join(left.select(F.col("node").alias("head"), F.col("label").alias("top")).distinct(), F.col("a") == F.col("head"))
+    tried = stored(apart.filter("label != top").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a")).select("a", "b"), "near-tried").rows
+    likely = stored(_sketched(tried, nodes, similarity), "near-pairs").rows
+    links = stored(links.union(_confirmed(likely, nodes, source, n_words, similarity)), "near-links").rows
+    label = connected_components(links).rows
+
     left = open_keys()
     tops = left.filter("node = a").select("key", F.col("label").alias("top"))
     stars = stored(

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from playmart.llm import near_copies
+from playmart.llm import near_copies, simhash
 
 
 def plain_set(text):
@@ -99,3 +99,16 @@ def test_odd_documents(odd, nothing):
     ids = [r.doc_id for r in kept.collect()]
     assert sorted(i for i in ids if i) == [1, 4, 5, 6, 7] and ids.count(None) == 1
     assert near_copies.keep_one_of_each(nothing).count() == 0
+
+
+def test_fingerprints_link_what_shingles_leave_apart(docs):
+    """A pair within SimHash's three bits whose similarity is below the bar, in chains over a smaller id."""
+    rng = random.Random(11)
+    bits = lambda a, b: (simhash.fingerprint(" ".join(a)) ^ simhash.fingerprint(" ".join(b))).bit_count()
+    rows = []
+    while len(rows) < 6:
+        words = [f"w{rng.randrange(4000)}" for _ in range(24)]
+        other = edited(rng, words, 1)
+        if bits(words, other) <= 3 and near_copies.jaccard(*(near_copies.shingles(" ".join(x)) for x in (words, other))) < 0.8:
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    assert sorted(r.doc_id for r in near_copies.keep_one_of_each(docs(rows)).collect()) == [0, 2, 4]
