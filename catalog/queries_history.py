@@ -21,13 +21,14 @@ P = "profile_slug"
 HX = f"{o.HIST}, {o.CATALOGUE}, hx AS (SELECT h.*, c.content_name, c.creator, year(ended) AS uy FROM hist h JOIN cat c USING (part) WHERE source_system = 'export')"
 
 
-def export(spark, d):
+def export(spark, d, spread=False):
     """Exported history with the names an export record carries."""
     names = w.catalogue(spark, d).select(
         "content_uri", F.col("content_name").alias("track_name"),
         F.col("primary_creator_name").alias("album_artist_name"), "content_key", "is_resolved",
     )
-    return w.history(spark, d).filter("source_system = 'export'").join(names, "content_uri")
+    plays = w.spread_history(spark, d) if spread else w.history(spark, d)
+    return plays.filter("source_system = 'export'").join(names, "content_uri")
 
 
 def _only_export(spark, d):
@@ -513,7 +514,7 @@ def g11(spark, d):
 def _export_rows(spark, d):
     """Export records whose names vary over the years."""
     live = F.when(F.year("ended_at_utc") == 1997, F.lit(" LIVÉ")).otherwise("")
-    return export(spark, d).select(
+    return export(spark, d, spread=True).select(
         "content_uri", "content_type", "ended_at_utc", F.col("raw_response_id").alias("raw_record_id"),
         F.concat("track_name", live).alias("track_name"), "album_artist_name",
         F.lit(None).cast("string").alias("episode_name"),

@@ -19,7 +19,7 @@ from playmart.operators.ordered import keep_first, split_scan
 from playmart.plans import allocation, content, star
 from playmart.plans.events import coverage_windows, dedupe_play_events
 from playmart.plans.timeseries import enriched_plays
-from playmart.session import small_table
+from playmart.session import shuffle_partitions, small_table
 from playmart.sources import staging
 
 PROFILES = (
@@ -237,12 +237,28 @@ def parts(spark: SparkSession, d: str) -> DataFrame:
 @planned
 def history(spark: SparkSession, d: str) -> DataFrame:
     """Order lines as plays: a line was shipped when it was heard, and its quantity is how long."""
+    return _plays(spark, d)
+
+
+@planned
+def spread_history(spark: SparkSession, d: str) -> DataFrame:
+    """The same plays, left in all shuffle partitions by the join.
+
+    Merged by bytes, a partition of these narrow rows holds millions: too many for a reader that widens
+    each and sorts them on the map side.
+    """
+    return _plays(spark, d, spread=True)
+
+
+def _plays(spark: SparkSession, d: str, spread: bool = False) -> DataFrame:
     li = table(spark, d, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag",
         "l_linestatus", utc("l_shipdate").alias("shipped"),
     )
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     # both sides grow with the history, so neither is ever a broadcast side
+    if spread:
+        li = li.repartition(shuffle_partitions(spark), "l_orderkey")
     rows = li.join(o.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     line, part, supp = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     order, cust = F.col("l_orderkey"), F.col("o_custkey")

@@ -23,13 +23,16 @@ def _newest_with_min_key(
     """Attributes of the newest row per uri, and the smallest match key over all its rows.
 
     Rows shrink to one per (uri, name, creator) before names are folded, and both results come out
-    of aggregates with a map-side step, so a uri with very many rows is no burden.
+    of aggregates with a map-side step, so a uri with very many rows is no burden. That step sorts
+    every row, so attributes that are grouped by are not carried a second time.
     """
-    packed = rows.withColumn("__a", F.struct(*attributes)).withColumn("__o", F.struct(*newest))
+    carried = [a for a in attributes if a not in (name, creator)]
+    packed = rows.withColumn("__a", F.struct(*carried)).withColumn("__o", F.struct(*newest))
     by_name = packed.groupBy("content_uri", name, creator).agg(
         F.max_by("__a", "__o").alias("__a"), F.max("__o").alias("__o")
     )
-    keyed = _with_match_key(by_name, name, creator)
+    whole = F.struct(*[F.col(f"__a.{a}" if a in carried else a).alias(a) for a in attributes])
+    keyed = _with_match_key(by_name, name, creator).withColumn("__a", whole)
     return keyed.groupBy("content_uri").agg(
         F.max_by("__a", "__o").alias("__a"), F.min("content_match_key").alias("content_match_key")
     ).select("content_uri", "__a.*", "content_match_key")
@@ -47,27 +50,22 @@ def export_content(plays: DataFrame) -> DataFrame:
         F.col("album_artist_name").alias("primary_creator_name"),
     ).filter(F.col("content_type").isin("track", "episode", "audiobook_chapter"))
     return _newest_with_min_key(
-        named.withColumn("__name", F.col("content_name")).withColumn(
-            "__creator", F.col("primary_creator_name")
-        ),
+        named,
         ["content_type", "content_name", "parent_name", "primary_creator_name"],
         [F.col("ended_at_utc"), F.col("raw_record_id")],
-        "__name",
-        "__creator",
+        "content_name",
+        "primary_creator_name",
     )
 
 
 def playlist_content(items: DataFrame) -> DataFrame:
-    named = items.withColumn("__name", F.col("content_name")).withColumn(
-        "__creator", F.col("primary_creator_name")
-    )
     return _newest_with_min_key(
-        named,
+        items,
         ["content_type", "content_name", "parent_name", "primary_creator_name", "duration_ms",
          "isrc"],
         [F.col("ingested_at"), -F.col("item_ordinal"), F.col("raw_response_id")],
-        "__name",
-        "__creator",
+        "content_name",
+        "primary_creator_name",
     )
 
 
@@ -81,12 +79,12 @@ def tracks_latest(plays: DataFrame, lookups: DataFrame) -> DataFrame:
     """Newest description per track over both feeds, its smallest match key, and when it was seen."""
     seen = plays.unionByName(lookups, allowMissingColumns=True)
     creator = F.get("album_artists", F.lit(0))["name"]
-    rows = seen.withColumn("__name", F.col("content_name")).withColumn("__creator", creator)
+    rows = seen.withColumn("__creator", creator)
     newest = [
         F.col("ingested_at"), F.col("played_at_utc"), F.col("raw_response_id"),
         -F.col("item_ordinal"),
     ]
-    described = _newest_with_min_key(rows, _TRACK, newest, "__name", "__creator")
+    described = _newest_with_min_key(rows, _TRACK, newest, "content_name", "__creator")
     spans = plays.groupBy("content_uri").agg(
         F.min("played_at_utc").alias("first_seen_at"), F.max("played_at_utc").alias("last_seen_at")
     )

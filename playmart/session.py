@@ -61,6 +61,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """For a `repartition` whose partitions must not be merged again by their compressed size."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; a temporary one only in local mode."""
     current = spark.sparkContext.getCheckpointDir()

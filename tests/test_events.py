@@ -65,6 +65,19 @@ def test_match_key_ignores_arrival_order(rows):
         assert got["t2"]["content_match_key"] == "otis|jay-z"
 
 
+def test_names_that_are_grouped_by_are_not_carried_twice(rows):
+    names = ("track_name", "episode_name", "audiobook_chapter_title", "album_name", "episode_show_name",
+             "audiobook_title", "album_artist_name")
+    plays = rows([("t1", "track", 1, "2024-01-01")],
+                 "content_uri string, content_type string, raw_record_id bigint, ended_at_utc timestamp")
+    found = export_content(plays.withColumns({c: F.lit(c) for c in names}))
+    assert tuple(found.first()) == ("t1", "track", "track_name", "album_name", "album_artist_name",
+                                    "track_name|album_artist_name")
+    packed = [x for x in found._jdf.queryExecution().analyzed().toString().splitlines() if " AS __a#" in x][-1]
+    assert "struct(content_type" in packed and "struct(content_type, content_type" in packed
+    assert ", content_name, " not in packed.split(" AS __a#")[0].split("struct(")[-1]
+
+
 def test_fact_uses_local_time_and_unknown_members(spark, rows):
     plays = rows(
         [("p", "u1", "2024-01-01 03:30:00", 29_000), ("p", "u2", "2024-01-01 03:30:00", 30_000),
