@@ -185,3 +185,17 @@ def test_sheet_is_written_under_a_safe_name(spark, rows, tmp_path):
     assert path.endswith("playlist_Rock___Roll___1.csv")
     back = spark.read.schema("order_number int, song string").csv(path, header=True)
     assert sorted(r["song"] for r in back.collect()) == ["a", "b", "c"]
+
+
+def test_comparison_of_records_keeps_all_partitions(spark, rows):
+    schema = "profile_slug string, source_file string, record_index bigint"
+    incoming = rows([("p", "f", n) for n in range(50)] + [("q", "f", 1), ("p", "f", 3), ("p", None, 2)], schema)
+    stored = rows([("p", "f", n) for n in range(0, 50, 2)] * 2 + [("p", "other", 1), ("p", None, 2)], schema)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = rd.new_export_records(incoming, stored)
+        assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert sorted(r["record_index"] for r in found.filter("profile_slug = 'p' and source_file = 'f'").collect()) == sorted([*range(1, 50, 2), 3])
+        assert found.count() == 28
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
