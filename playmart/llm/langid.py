@@ -8,11 +8,13 @@ set the temperature of the scores and the score below which a text is rejected.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -139,14 +141,22 @@ def _loss(z: np.ndarray, y: np.ndarray) -> float:
 
 def fit(docs: DataFrame, label: str = "lang", doc_id: str = "doc_id", text: str = "text",
         settings: Settings = Settings()) -> Model:
-    """Train on about `settings.sample` rows with a label, drawn by a hash of id and text."""
+    """Train on about `settings.sample` rows with a label, drawn by a hash of id and text.
+
+    One task trains on the sample, whose size is bounded; only the model comes to the driver.
+    """
     known = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
     n, scale = known.count(), 1 << 40
     if n > settings.sample:
         lot = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(scale))
         known = known.filter(lot < scale * settings.sample // n).limit(2 * settings.sample)
-    rows = known.select(F.col(text), F.col(label)).collect()
-    return train(sorted((r[0], r[1]) for r in rows), settings)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for b in batches for r in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(sorted(rows), settings))], pa.binary())], names=["model"])
+
+    made = known.select(F.col(text), F.col(label)).coalesce(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(made[0].model) if made else train([], settings)
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

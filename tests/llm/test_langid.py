@@ -63,3 +63,17 @@ def test_rejected_documents_go_and_columns_stay(docs):
     assert kept.columns == frame.columns
     ids = {r.doc_id for r in kept.collect()}
     assert not ids & {900, 901} and len(ids) >= 59
+
+
+def test_training_texts_stay_out_of_the_driver(docs, monkeypatch):
+    given = docs([(i, f"{'the cat sat' if i % 2 else 'le chat dort'} {i}", "en" if i % 2 else "fr") for i in range(40)])
+    rows = sorted((r.text, r.lang) for r in given.collect())
+    plain = langid.train(rows)
+
+    def here(*_):
+        raise AssertionError("a text is read in the driver")
+
+    monkeypatch.setattr(langid, "_bag", here)
+    model = langid.fit(given)
+    assert model.labels == plain.labels == ("en", "fr") and np.allclose(model.table, plain.table)
+    assert langid.fit(given.filter("doc_id < 0")).labels == ()
