@@ -66,6 +66,48 @@ def test_pairs_are_compared_beyond_the_first_of_a_key(docs, monkeypatch):
     assert got == plain_stays(rows)
 
 
+def test_texts_just_below_the_bar_do_not_make_their_pairs_rows(docs, monkeypatch):
+    """One key holds many texts that are alike without being copies, and some copies; it is dealt into blocks."""
+    bands, stored, made = near_copies.bands, near_copies.stored, {}
+
+    def counted(df, name, *how):
+        held = stored(df, name, *how)
+        made[name] = max(made.get(name, 0), held.rows.count())
+        return held
+
+    monkeypatch.setattr(near_copies, "bands", lambda found: (np.zeros(1, np.int64), bands(found)[1]))
+    monkeypatch.setattr(near_copies, "fingerprint", lambda t: near_copies.xxhash.xxh64_intdigest(t))  # SimHash links none
+    monkeypatch.setattr(near_copies, "stored", counted)
+    monkeypatch.setattr(near_copies, "HELD", 20, raising=False)
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(4000)}" for _ in range(80)]
+    texts = [[f"z{i}" for i in range(80)]] + [base[:70] + [f"t{i}x{k}" for k in range(10)] for i in range(70)]
+    texts += [[*t[:-1], "end"] for t in texts[5::10]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = sorted(r.doc_id for r in near_copies.keep_one_of_each(docs(rows)).collect())
+    assert got == plain_stays(rows) == list(range(71))
+    assert max(made.values()) <= 2 * len(rows) and made["near-blocks"] == 1
+
+
+def test_links_of_a_key_are_a_forest():
+    """Rows in batches that cut blocks apart, against all pairs."""
+    rng = random.Random(5)
+    texts = [" ".join(t) for _, t in ((0, edited(rng, [f"w{i}" for i in range(90)], rng.randint(0, 4))) for _ in range(60))]
+    found = [near_copies.shingles(t) for t in texts]
+    made = [near_copies.bands(f) for f in found]
+    side = lambda at: near_copies._Texts(
+        np.array(at), np.array(at), np.array([len(found[i]) for i in at]), np.array([made[i][1] for i in at]).view(np.uint64),
+        np.zeros((len(at), 1), np.int64), [found[i] for i in at])
+    x, y = side(range(25)), side(range(25, 60))
+    links = [near_copies._forest(*pair, 0, 0.8) for pair in ((x, x), (x, y), (y, y))]
+    pairs = [(int(a), int(b)) for part in links for c in part for a, b in zip(*c, strict=True)]
+    assert all(near_copies.jaccard(found[a], found[b]) >= 0.8 for a, b in pairs) and len(pairs) < 60
+    label = list(range(60))
+    for a, b in pairs:
+        label = [min(label[a], label[b]) if v in (label[a], label[b]) else v for v in label]
+    assert sorted(set(label)) == plain_stays(list(enumerate(texts))) and 1 < len(set(label)) < 50
+
+
 def test_bands_propose_pairs_of_the_least_similarity():
     rng = np.random.default_rng(5)
     for _ in range(300):
