@@ -130,14 +130,15 @@ def genre_bucket_allocation(
     """(profile, month, bucket, genre, artist): plays and time shared out 1/N over the genres.
 
     Weights hang on the artist alone, so plays are summed per (profile, month, artist) before the
-    many-to-many join; the fan-out touches aggregates, never plays.
+    many-to-many join; the fan-out touches aggregates, never plays. Contents and credits grow with the
+    catalogue and are never a broadcast side.
     """
     tracks = content.filter("content_type = 'track'").select("content_key")
     primary = credits.filter("is_primary").select("content_key", "artist_key")
     by_day = (
         fact.select("profile_key", "date_key", "content_key", "ms_played")
-        .join(tracks, "content_key")
-        .join(primary, "content_key")
+        .join(tracks.hint("merge"), "content_key")
+        .join(primary.hint("merge"), "content_key")
         .groupBy("profile_key", "date_key", "artist_key")
         .agg(F.count(F.lit(1)).alias("n"), F.count("ms_played").alias("timed"),
              F.sum("ms_played").alias("ms"))

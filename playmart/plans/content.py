@@ -88,7 +88,8 @@ def tracks_latest(plays: DataFrame, lookups: DataFrame) -> DataFrame:
     spans = plays.groupBy("content_uri").agg(
         F.min("played_at_utc").alias("first_seen_at"), F.max("played_at_utc").alias("last_seen_at")
     )
-    return described.join(spans, "content_uri", "left")
+    # both sides have a row per content, so neither is ever a broadcast side
+    return described.join(spans.hint("merge"), "content_uri", "left")
 
 
 def albums_latest(plays: DataFrame, lookups: DataFrame) -> DataFrame:
@@ -147,7 +148,7 @@ def content_artists(tracks: DataFrame) -> DataFrame:
             F.array_position(F.transform("track_artists", lambda a: a["id"].isNotNull()), True)
         ).cast("int").alias("__first"),
     )
-    return placed.join(lead, "content_uri").select(
+    return placed.join(lead.hint("merge"), "content_uri").select(
         "content_uri", "artist_id", "artist_ordinal",
         (F.col("artist_ordinal") == F.col("__first")).alias("is_primary"),
     )
@@ -182,11 +183,14 @@ def isrc_artist(lookups: DataFrame) -> DataFrame:
 def artist_external_map(
     credits: DataFrame, tracks: DataFrame, isrcs: DataFrame
 ) -> DataFrame:
-    """Artist -> external id, reached through recording codes only; NULL when they disagree."""
+    """Artist -> external id, reached through recording codes only; NULL when they disagree.
+
+    Credits, codes and lookups grow with the catalogue, so none is ever a broadcast side.
+    """
     code = F.upper(F.replace(F.col("isrc"), F.lit("-"), F.lit("")))
     coded = tracks.filter("isrc is not null").select("content_uri", code.alias("isrc"))
-    primary = credits.filter("is_primary").join(coded, "content_uri").select("artist_id", "isrc")
-    mapped = primary.join(isrcs.select("isrc", "primary_artist_mbid"), "isrc", "left")
+    primary = credits.filter("is_primary").join(coded.hint("merge"), "content_uri").select("artist_id", "isrc")
+    mapped = primary.join(isrcs.select("isrc", "primary_artist_mbid").hint("merge"), "isrc", "left")
     mbid = F.col("primary_artist_mbid")
     return mapped.groupBy("artist_id").agg(
         F.count(F.lit(1)).alias("primary_track_isrcs"),

@@ -260,7 +260,8 @@ def fct_play_event(plays: DataFrame, profiles: DataFrame, content: DataFrame) ->
     what = content.filter("content_key > 0").select(
         "content_key", "content_uri", F.col("duration_ms").alias("__duration")
     )
-    rows = plays.join(who, "profile_slug", "left").join(what, "content_uri", "left")
+    # contents grow with the catalogue, so they are never a broadcast side
+    rows = plays.join(who, "profile_slug", "left").join(what.hint("merge"), "content_uri", "left")
     local = F.from_utc_timestamp("ended_at_utc", F.col("home_timezone"))
     unknown = F.lit(-1)
     return rows.select(
@@ -299,9 +300,8 @@ def fct_playlist_membership(
 def br_content_artist(credits: DataFrame, content: DataFrame, artists: DataFrame) -> DataFrame:
     """The primary artist carries a play whole; featured artists are listed with weight 0."""
     now = artists.filter("is_current").select("artist_key", "artist_id")
-    joined = credits.join(content.select("content_key", "content_uri"), "content_uri").join(
-        now, "artist_id"
-    )
+    known = content.select("content_key", "content_uri").hint("merge")
+    joined = credits.join(known, "content_uri").join(now, "artist_id")
     return joined.select(
         "content_key", "artist_key", "is_primary",
         F.when(F.col("is_primary"), F.lit(1.0)).otherwise(F.lit(0.0)).alias("weight_factor"),
