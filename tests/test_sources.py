@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -199,3 +201,64 @@ def test_comparison_of_records_keeps_all_partitions(spark, rows):
         assert found.count() == 28
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+ODD = [
+    {"a": 'x}{"[]\\', "ip_addr": "1"}, {}, 1, None, "},{", [1, {"b": [2]}], {"c": {"d": {"e": "\\\"}"}}, "f": [{}, {"g": "ä}"}]},
+    [], {"h": 1.50}, "]", {"i": None}, {"j": "[{"}, 7,
+]
+BROKEN = ['[{"a":1},{"b":2', '[{"a":1} {"b":2}]', '[{"a":1},]', '[{"a":1}', '[{"a":1},5', '{"a":1}', '[{"a":1},{"b":}]', '[{"a":"x},{"}',
+          '[{"a":1},{"a":1,"a":2}]', '[{"a":1}\n']
+ODDLY_ENDED = ['[{"a":1}] x', '[{"a":1},{"b":2}]\n[{"c":3}]', '[{"a":1}]{"b":2}', '[{"a":1},2] {} 3', ' [\n {"a":1}\n ,\t{"b":{}} , 3\r\n]\n', "[]", "[1]"]
+
+
+@pytest.mark.parametrize("at_once, split", [(1, "64b"), (3, "128m"), (16, "64b")])  # a file in many splits too
+def test_large_files_have_the_records_they_have_when_parsed_whole(spark, tmp_path, monkeypatch, at_once, split):
+    monkeypatch.setattr(rd, "AT_ONCE", at_once)
+    texts = [json.dumps(ODD), json.dumps(ODD, indent=1, ensure_ascii=False), json.dumps([record(n) for n in range(50)]), *BROKEN, *ODDLY_ENDED]
+    for n, text in enumerate(texts):
+        (tmp_path / f"Streaming_History_Audio_{n}.json").write_text(text)
+    (tmp_path / "other.json").write_text('[{"a":1}]')
+    read = lambda whole: rd.read_export_records(spark, str(tmp_path), "alpha", whole=whole)
+    told = lambda df: sorted((r.source_file, r.record_index, str(r.payload)) for r in df.collect())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = told(read(0))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == told(read(1 << 20)) == told(read(60))
+    counts = Counter(name for name, *_ in got)
+    assert [counts.get(f"Streaming_History_Audio_{n}.json", 0) for n in range(len(texts))] == (
+        [len(ODD), len(ODD), 50] + [0] * len(BROKEN) + [1, 2, 1, 2, 3, 0, 1])
+
+
+def test_no_task_holds_a_large_file(spark, tmp_path):
+    (tmp_path / "Streaming_History_Audio_1.json").write_text(json.dumps([record(n % 60) for n in range(3000)]))
+    found = rd.read_export_records(spark, str(tmp_path), "alpha", whole=10_000)
+    assert found.count() == 3000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "posexplode(elements" in plan and "file_size" in plan
+    found.write.partitionBy("profile_slug").parquet(str(tmp_path / "raw"))
+    stored = spark.read.parquet(str(tmp_path / "raw"))
+    assert rd.read_export_records(spark, str(tmp_path), "alpha", stored, whole=10_000).isEmpty()
+    assert rd.read_export_records(spark, str(tmp_path), "alpha", stored.filter("record_index <> 5"), whole=10_000).count() == 3000
+
+
+def test_export_files_are_written_record_by_record(spark, rows, tmp_path):
+    from catalog import queries_checks as qc
+
+    lines = [(n // 3, n % 7, n % 4, n % 7 + 1, n % 50, "RAN"[n % 3], "OF"[n % 2], f"1996-0{n % 9 + 1}-01 00:00:00") for n in range(300)]
+    rows([*lines, lines[0], (None, *lines[1][1:])],
+         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_returnflag string, "
+         "l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows([(n, None if n % 11 == 0 else n % 10, "1-URGENT") for n in range(100)],
+         "o_orderkey bigint, o_custkey bigint, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    want = qc.raw_export(spark, str(tmp_path)).filter("profile_slug is not null").groupBy("profile_slug").count().collect()
+    folders, _ = qc._export_folders(spark, str(tmp_path))
+    for profile, n in want:
+        texts = [p.read_text() for p in Path(folders[profile].removeprefix("file:")).glob("*.json")]
+        files = [json.loads(t) for t in texts]
+        assert sum(map(len, files)) == n and all(f[0]["ip_addr"] == "1.2.3.4" for f in files)
+        # a record a line: what a task holds is a record
+        assert all(len(t.splitlines()) == len(f) for t, f in zip(texts, files, strict=True))
